@@ -14,6 +14,9 @@ from reviewmill.functions.candidates import REPEATED, leet_candidates, repeat_ca
 from reviewmill.operators.fuzzy import rank_candidates
 from reviewmill.operators.tokens import is_protected
 
+# Prefixes and suffixes a form may lose, longest first.
+AFFIXES = (r"^(meng|mem|men|me|ber|ter|di|ke|se|pe)", r"(nya|kan|an|i|lah|kah|ku|mu)$")
+
 
 @dataclass(frozen=True)
 class Lexicons:
@@ -29,6 +32,7 @@ class Lexicons:
     emoticons: dict[str, str] = field(default_factory=dict)
     emojis: dict[str, str] = field(default_factory=dict)
     emoji_names: dict[str, str] = field(default_factory=dict)
+    affixes: Sequence[str] = AFFIXES
 
 
 def token_counts(token_table: DataFrame) -> DataFrame:
@@ -122,9 +126,6 @@ def normalize_vocab(
     )
 
 
-AFFIXES = (r"^(me|mem|men|meng|ber|ter|di|ke|se|pe)", r"(nya|kan|an|i|lah|kah|ku|mu|s|es|en|er)$")
-
-
 def stem_tokens(
     vocab: DataFrame,
     roots: DataFrame | None,

@@ -28,7 +28,7 @@ def decide_tokens(
     decided = normalize_vocab(counts, lexicons, cfg, fuzzy)
     word = F.col("normalized")
     distinct = decided.select(word.alias("token")).distinct()
-    stems = stem_tokens(distinct, lexicons.roots, lexicons.dictionary, lexicons.exclusions)
+    stems = stem_tokens(distinct, lexicons.roots, lexicons.dictionary, lexicons.exclusions, lexicons.affixes)
     stops = lexicons.stopwords.select(F.col(lexicons.stopwords.columns[0]).alias("token")).distinct()
     facts = stems.join(stops.withColumn("stop", F.lit(True)), "token", "left").select(
         F.col("token").alias("normalized"), "stem", F.coalesce("stop", F.lit(False)).alias("stop")

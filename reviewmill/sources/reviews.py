@@ -86,4 +86,4 @@ def write_predictions(df: DataFrame, path: str) -> None:
     """CSV with a header, one file per partition."""
     df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option(
         "escapeQuotes", True
-    ).csv(path)
+    ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
