@@ -68,28 +68,33 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
 
 
-def ngrams_of(words: Column, low: int = 1, high: int = 2) -> Column:
-    """All n-grams of ``low`` to ``high`` adjacent words, joined by spaces."""
-    sizes = []
-    for n in range(low, high + 1):
-        if n == 1:
-            sizes.append(words)
-            continue
-        starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-        grams = F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, n), " "))
-        sizes.append(F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>")))
-    return sizes[0] if len(sizes) == 1 else F.concat(*sizes)
+def ngrams_of(words: str, low: int = 1, high: int = 2) -> Column:
+    """All n-grams of ``low`` to ``high`` adjacent words of an array column, joined by spaces."""
+    sizes = [
+        words if n == 1
+        else f"transform(slice({words}, 1, greatest(size({words}) - {n - 1}, 0)), "
+        f"(w, i) -> array_join(slice({words}, i + 1, {n}), ' '))"
+        for n in range(low, high + 1)
+    ]
+    return F.expr(f"concat({', '.join(sizes)})")
+
+
+def _terms(df: DataFrame, keep: tuple[str, ...], low: int, high: int) -> DataFrame:
+    """(id, *keep, term). The outer explode keeps the optimiser from computing the words again to drop empty texts."""
+    words = df.select("id", *keep, words_of(F.col("text")).alias("words"))
+    terms = words.select("id", *keep, F.explode_outer(ngrams_of("words", low, high)).alias("term"))
+    return terms.filter("term IS NOT NULL")
 
 
 def vectorizer_tokens(df: DataFrame, row_id: str, text: str) -> DataFrame:
     """(id, pos, token)"""
-    return df.select(F.col(row_id).alias("id"), F.posexplode(words_of(F.col(text))).alias("pos", "token"))
+    words = df.select(F.col(row_id).alias("id"), F.posexplode_outer(words_of(F.col(text))).alias("pos", "token"))
+    return words.filter("token IS NOT NULL")
 
 
 def ngrams_1_2(df: DataFrame, row_id: str, text: str, low: int = 1, high: int = 2) -> DataFrame:
     """(id, term): one row per n-gram occurrence."""
-    words = df.select(F.col(row_id).alias("id"), words_of(F.col(text)).alias("words"))
-    return words.select("id", F.explode(ngrams_of(F.col("words"), low, high)).alias("term"))
+    return _terms(df.select(F.col(row_id).alias("id"), F.col(text).alias("text")), (), low, high)
 
 
 def term_counts(df: DataFrame, row_id: str, text: str, low: int = 1, high: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -99,9 +104,7 @@ def term_counts(df: DataFrame, row_id: str, text: str, low: int = 1, high: int =
     further exchange, and the compact text travels instead of its n-grams.
     """
     spread = df.select(F.col(row_id).alias("id"), *keep, F.col(text).alias("text")).repartition("id")
-    words = spread.select("id", *keep, words_of(F.col("text")).alias("words"))
-    terms = words.select("id", *keep, F.explode(ngrams_of(F.col("words"), low, high)).alias("term"))
-    return terms.groupBy("id", *keep, "term").agg(F.count("*").alias("tf"))
+    return _terms(spread, keep, low, high).groupBy("id", *keep, "term").agg(F.count("*").alias("tf"))
 
 
 def document_frequency(counts: DataFrame, n_docs: int | Column, min_df: int = 2, max_df: float = 0.95) -> DataFrame:

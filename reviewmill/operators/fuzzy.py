@@ -67,7 +67,7 @@ def _token_keys(tokens: DataFrame, rules: Rules) -> DataFrame:
     routed = _routes(sized.selectExpr("*", "explode(sequence(l1 - gap, l1 + gap)) as l2"))
     return routed.selectExpr(
         "rule", "token", "l1", "l2", "route", "distance",
-        f"""explode(case route
+        f"""explode_outer(case route
             when {BY_DELETION} then {deletions("token", "token_cut")}
             when {BY_PART} then {token_parts("token", "l2", "distance", "word_cut", "token_cut")}
             else {substrings("token", "least(l1, l2)")} end) as key""",
@@ -83,7 +83,7 @@ def _word_keys(dictionary: DataFrame, rules: Rules) -> DataFrame:
     routed = _routes(sized.selectExpr("*", f"explode({lengths}) as l1"))
     return routed.selectExpr(
         "rule", "word", "l1", "l2", "route",
-        f"""explode(case route
+        f"""explode_outer(case route
             when {BY_DELETION} then {deletions("word", "word_cut")}
             when {BY_PART} then {word_parts("word", "distance")}
             else {substrings("word", "least(l1, l2)")} end) as key""",

@@ -13,8 +13,12 @@ from reviewmill.functions.text import WS, tokens
 
 
 def tokenize(df: DataFrame, row_id: str, text: str) -> DataFrame:
-    """(id, pos, token) for each ``[a-z0-9_]+`` run of the lower-cased text."""
-    return df.select(F.col(row_id).alias("id"), F.posexplode(tokens(F.col(text))).alias("pos", "token"))
+    """(id, pos, token) for each ``[a-z0-9_]+`` run of the lower-cased text.
+
+    The outer explode keeps the optimiser from matching twice just to drop texts without tokens.
+    """
+    runs = df.select(F.col(row_id).alias("id"), F.posexplode_outer(tokens(F.col(text))).alias("pos", "token"))
+    return runs.filter("token IS NOT NULL")
 
 
 def is_protected(token: Column, exclusions: Sequence[str], negations: Sequence[str] = ()) -> Column:
@@ -94,8 +98,8 @@ def rebuild_text(token_table: DataFrame) -> DataFrame:
 
 def count_tokens(df: DataFrame, text: str) -> DataFrame:
     """Total and distinct whitespace tokens."""
-    words = df.select(F.explode(F.regexp_extract_all(text, F.lit(f"[^{WS}]+"), F.lit(0))).alias("token"))
-    counts = words.groupBy("token").agg(F.count("*").alias("n"))
+    words = df.select(F.explode_outer(F.regexp_extract_all(text, F.lit(f"[^{WS}]+"), F.lit(0))).alias("token"))
+    counts = words.filter("token IS NOT NULL").groupBy("token").agg(F.count("*").alias("n"))
     return counts.agg(
         F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("total"), F.count("*").alias("unique")
     )

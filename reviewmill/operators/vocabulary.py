@@ -78,8 +78,8 @@ def spelling_candidates(residue: DataFrame, lexicons: Lexicons, cfg: ReviewConfi
         )
     )
     return (
-        residue.select("token", F.inline(entries))
-        .select("token", "rule", F.explode("candidates").alias("candidate"))
+        residue.select("token", F.inline_outer(entries))
+        .select("token", "rule", F.explode_outer("candidates").alias("candidate"))
         .filter("candidate <> ''")
     )
 

@@ -75,7 +75,7 @@ def words(x: str) -> str:
 
 def with_emoji(x: str) -> str:
     for word, emoji in Q.EMOJI_FOR.items():
-        x = _replace(x, rf"\b{word}\b", emoji)
+        x = f"replace({x}, {_quoted(f' {word} ')}, {_quoted(f' {emoji} ')})"
     return x
 
 
@@ -177,6 +177,11 @@ CTES = {
         WHERE regexp_full_match(c.candidate, '[a-z]+')""",
     "spellings": "SELECT DISTINCT candidate AS token FROM cand_open",
     "cand_similar": similar("spellings", CFG.candidate_length_ratio, CFG.repeat_threshold, True),
+    "all_cands": f"""SELECT DISTINCT token, 0 AS rule, unnest([token, {runs_to('token', 1)}, {runs_to('token', 2)}]) AS candidate FROM dfreq""",
+    "all_exact": "SELECT c.*, c.candidate AS word, 100.0::double AS score FROM all_cands c JOIN dict d ON c.candidate = d.word",
+    "all_open": """SELECT c.* FROM all_cands c ANTI JOIN all_exact e ON c.token = e.token WHERE regexp_full_match(c.candidate, '[a-z]+')""",
+    "all_spellings": "SELECT DISTINCT candidate AS token FROM all_open",
+    "all_similar": similar("all_spellings", CFG.candidate_length_ratio, CFG.repeat_threshold, True),
     "typo_tokens": "SELECT token FROM residue WHERE regexp_full_match(token, '[a-z]{4,}')",
     "typo_similar": similar("typo_tokens", CFG.typo_length_ratio, CFG.typo_threshold, False),
     "typo_ranked": """SELECT token, word, score, row_number() OVER (
@@ -515,6 +520,8 @@ ORACLES: dict[str, str] = {
     "dictionary_block": f"""SELECT v.token, count(d.word) AS n_words FROM dfreq v LEFT JOIN dict d ON v.token[1] = d.word[1]
         AND abs(length(v.token) - length(d.word)) <= greatest(1, floor(length(v.token) * {CFG.typo_length_ratio})::int) GROUP BY v.token""",
     "fuzzy_score": f"SELECT token, word, round(score, 6) AS score FROM ({similar('dfreq', CFG.typo_length_ratio, CFG.typo_threshold, True)})",
+    "best_dictionary_candidate": f"""SELECT token, word FROM ({_choices("""SELECT * FROM all_exact UNION ALL
+        SELECT o.token, o.rule, o.candidate, s.word, round(s.score, 9) AS score FROM all_open o JOIN all_similar s ON o.candidate = s.token""")}) WHERE place = 1""",
     "typo_correction": f"""SELECT token, arg_min(word, place) AS word FROM (
         SELECT token, word, row_number() OVER (PARTITION BY token ORDER BY round(score, 9) DESC, length(word), word) AS place
         FROM ({similar("(SELECT token FROM dfreq WHERE regexp_full_match(token, '[a-z]{4,}') AND token NOT IN (SELECT word FROM dict))", CFG.typo_length_ratio, CFG.typo_threshold, False)}))
@@ -528,8 +535,8 @@ ORACLES: dict[str, str] = {
     "stem_tokens": f"SELECT token, stem FROM ({_stems('dfreq')})",
     "rebuild_text": "SELECT id, string_agg(token, ' ' ORDER BY pos) AS clean_text FROM tok GROUP BY id",
     "normalization_stats": """SELECT unnest(['tokens_checked', 'typo_fixed', 'typo_not_found', 'leet_fixed', 'repeated_fixed', 'slang_normalized', 'cache_hit', 'cache_miss']) AS stat,
-        unnest([sum(n), sum(n) FILTER (source = 'typo'), sum(n) FILTER (source = 'not_found'), sum(n) FILTER (source = 'leet'),
-            sum(n) FILTER (source = 'repeated'), sum(n) FILTER (source = 'slang'), sum(n) - count(*), count(*)])::bigint AS n
+        coalesce(unnest([sum(n), sum(n) FILTER (source = 'typo'), sum(n) FILTER (source = 'not_found'), sum(n) FILTER (source = 'leet'),
+            sum(n) FILTER (source = 'repeated'), sum(n) FILTER (source = 'slang'), sum(n) - count(*), count(*)]), 0)::bigint AS n
         FROM dfreq JOIN decided USING (token)""",
     "count_tokens": f"SELECT count(*) AS total, count(DISTINCT t) AS \"unique\" FROM (SELECT unnest(regexp_extract_all(text, {_quoted(f'[^{WS}]+')})) AS t FROM documents)",
     "stratified_split": "SELECT doc_id, quality, is_test FROM split",

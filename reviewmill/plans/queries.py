@@ -66,7 +66,7 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def _with_emoji(col: Column) -> Column:
     for word, emoji in EMOJI_FOR.items():
-        col = F.regexp_replace(col, rf"\b{word}\b", emoji)
+        col = F.replace(col, F.lit(f" {word} "), F.lit(f" {emoji} "))
     return col
 
 
