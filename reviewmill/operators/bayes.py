@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.config import ReviewConfig
@@ -21,7 +21,8 @@ from reviewmill.sources.models import Model
 def nb_priors(df: DataFrame, label: str) -> DataFrame:
     """(label, log_prior) with unsmoothed class shares."""
     counts = df.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"))
-    return counts.select("label", F.log(F.col("n") / counts.agg(F.sum("n")).scalar()).alias("log_prior"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # one row per class
+    return counts.select("label", F.log(F.col("n") / total).alias("log_prior"))
 
 
 def nb_fit(weights: DataFrame, label: str, vocab: DataFrame, labels: Sequence[int], alpha: float = 1.0) -> DataFrame:
@@ -33,7 +34,7 @@ def nb_fit(weights: DataFrame, label: str, vocab: DataFrame, labels: Sequence[in
         F.coalesce(F.sum(F.when(F.col(label) == value, F.col("weight"))), F.lit(0.0)).alias(f"s{i}")
         for i, value in enumerate(labels)
     ]
-    by_term = weights.groupBy("term").agg(*sums)
+    by_term = materialize(weights.groupBy("term").agg(*sums))  # read twice: totals, then logs
     totals = by_term.agg(
         F.struct(F.count("*").alias("size"), *[F.sum(f"s{i}").alias(f"t{i}") for i in range(len(labels))])
     ).scalar()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill import config
@@ -23,39 +23,51 @@ def chart_label_distribution(df: DataFrame, label: str, order: Sequence[str] = c
     ).select("r.*")
 
 
+def _length_counts(df: DataFrame, text: str) -> DataFrame:
+    """(x, n) rows per word count: one row per distinct length, however many texts there are."""
+    return (
+        df.filter(F.col(text).isNotNull())
+        .groupBy(word_count(F.col(text)).cast("bigint").alias("x"))
+        .agg(F.count("*").alias("n"))
+    )
+
+
 def chart_histogram(df: DataFrame, text: str, bins: int = 40) -> DataFrame:
     """Word counts in equal-width bins, last bin closed.
 
-    Works on counts per distinct length. Integer arithmetic places each length,
-    so a value on a bin edge always goes to the upper bin.
+    Integer arithmetic places each length, so a value on a bin edge always goes
+    to the upper bin. Equal lengths everywhere widen the range by a half each way.
     """
-    lengths = df.filter(F.col(text).isNotNull()).groupBy(word_count(F.col(text)).cast("bigint").alias("x")).agg(F.count("*").alias("n"))
-    limits = lengths.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
-    spread = F.col("m.hi") - F.col("m.lo")
-    placed = lengths.withColumn("m", limits).select(
-        F.when(spread == 0, F.lit(bins // 2).cast("bigint"))
-        .otherwise(F.least(F.lit(bins - 1).cast("bigint"), F.floor((F.col("x") - F.col("m.lo")) * bins / F.nullif(spread, F.lit(0)))))
-        .alias("bin"),
-        "n",
+    all_lengths = Window.partitionBy(F.lit(0))
+    lengths = _length_counts(df, text).select(
+        "x", "n", F.min("x").over(all_lengths).alias("low"), F.max("x").over(all_lengths).alias("high")
+    )
+    spread = F.nullif(F.col("high") - F.col("low"), F.lit(0))
+    place = F.least(F.lit(bins - 1), F.floor((F.col("x") - F.col("low")) * bins / spread))
+    filled = (
+        lengths.groupBy("low", "high", F.coalesce(place, F.lit(bins // 2)).cast("bigint").alias("bin"))
+        .agg(F.sum("n").alias("n"))
+        .groupBy("low", "high")
+        .agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("counts"))
     )
-    filled = placed.groupBy("bin").agg(F.sum("n").alias("n"))
-    grid = df.sparkSession.range(bins).select(F.col("id").alias("bin")).withColumn("m", limits)
-    lo = F.when(spread == 0, F.col("m.lo") - 0.5).otherwise(F.col("m.lo").cast("double"))
-    width = F.when(spread == 0, F.lit(1.0)).otherwise(spread.cast("double")) / bins
-    return grid.join(filled, "bin", "left").select(
+    edge = F.when(spread.isNull(), F.col("low") - 0.5).otherwise(F.col("low").cast("double"))
+    width = F.coalesce(spread.cast("double"), F.lit(1.0)) / bins
+    return filled.select(
+        F.explode(F.sequence(F.lit(0), F.lit(bins - 1)).cast("array<bigint>")).alias("bin"), "counts", edge.alias("edge"), width.alias("width")
+    ).select(
         "bin",
-        F.round(lo + F.col("bin") * width, 6).alias("lo"),
-        F.round(lo + (F.col("bin") + 1) * width, 6).alias("hi"),
-        F.coalesce("n", F.lit(0).cast("bigint")).alias("n"),
+        F.round(F.col("edge") + F.col("bin") * F.col("width"), 6).alias("lo"),
+        F.round(F.col("edge") + (F.col("bin") + 1) * F.col("width"), 6).alias("hi"),
+        F.coalesce(F.try_element_at("counts", F.col("bin")), F.lit(0).cast("bigint")).alias("n"),
     )
 
 
 def chart_boxplot(df: DataFrame, text: str) -> DataFrame:
     """Quartiles, whiskers (furthest value within 1.5 IQR) and number of outliers."""
-    lengths = df.filter(F.col(text).isNotNull()).groupBy(word_count(F.col(text)).cast("bigint").alias("x")).agg(F.count("*").alias("n"))
-    # One row per distinct length; the percentile reads the counts as weights.
-    quartiles = F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
-    boxed = lengths.withColumn("q", lengths.agg(quartiles).scalar())
+    all_lengths = Window.partitionBy(F.lit(0))
+    # The percentile reads the counts as weights.
+    quartiles = F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).over(all_lengths)
+    boxed = _length_counts(df, text).withColumn("q", quartiles)
     iqr = F.col("q")[2] - F.col("q")[0]
     inside = (F.col("x") >= F.col("q")[0] - 1.5 * iqr) & (F.col("x") <= F.col("q")[2] + 1.5 * iqr)
     return boxed.agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewmill.scale import salted_join
+from reviewmill.scale import deal, salted_join
 
 _BUCKET_DIGITS = 4  # 65,536 hash buckets per label
 
@@ -16,14 +16,15 @@ def split_quotas(counts: DataFrame, test_size: float) -> DataFrame:
     Whole shares first, then the largest remainders; equal remainders go to the
     smaller label. One row per class.
     """
-    total = counts.agg(F.sum("n")).scalar()
-    tests = F.ceil(F.lit(test_size) * F.col("total"))
-    shares = counts.withColumn("total", total).withColumn("exact", F.col("n") * tests / F.col("total"))
+    classes = Window.partitionBy(F.lit(0))  # one row per class
+    total = F.sum("n").over(classes)
+    tests = F.ceil(F.lit(test_size) * total)
+    shares = counts.select("label", tests.alias("tests"), (F.col("n") * tests / total).alias("exact"))
     floors = shares.withColumn("whole", F.floor("exact"))
-    spare = floors.agg(F.max(tests) - F.sum("whole")).scalar()
-    order = Window.orderBy(F.desc(F.col("exact") - F.col("whole")), "label")  # one row per class
-    return floors.withColumn("place", F.row_number().over(order)).select(
-        "label", (F.col("whole") + F.when(F.col("place") <= spare, 1).otherwise(0)).cast("bigint").alias("quota")
+    place = F.row_number().over(classes.orderBy(F.desc(F.col("exact") - F.col("whole")), "label"))
+    spare = F.col("tests") - F.sum("whole").over(classes)
+    return floors.select(
+        "label", (F.col("whole") + F.when(place <= spare, 1).otherwise(0)).cast("bigint").alias("quota")
     )
 
 
@@ -103,7 +104,7 @@ def term_counts(df: DataFrame, row_id: str, text: str, low: int = 1, high: int =
     Whole texts are spread by id first: the counts per (id, term) then need no
     further exchange, and the compact text travels instead of its n-grams.
     """
-    spread = df.select(F.col(row_id).alias("id"), *keep, F.col(text).alias("text")).repartition("id")
+    spread = deal(df.select(F.col(row_id).alias("id"), *keep, F.col(text).alias("text")), "id")
     return _terms(spread, keep, low, high).groupBy("id", *keep, "term").agg(F.count("*").alias("tf"))
 
 

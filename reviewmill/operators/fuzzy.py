@@ -30,6 +30,7 @@ from reviewmill.functions.candidates import (
     token_parts,
     word_parts,
 )
+from reviewmill.scale import deal
 
 MAX_DELETIONS = 2
 BY_DELETION, BY_PART, BY_CONTAINMENT = 0, 1, 2
@@ -95,7 +96,7 @@ def rule_matches(tokens: DataFrame, dictionary: DataFrame, rules: Rules) -> Data
 
     ``tokens`` holds distinct (rule, token), ``dictionary`` distinct ``word``.
     """
-    joined = _token_keys(tokens, rules).join(_word_keys(dictionary, rules), ["rule", "l1", "l2", "route", "key"])
+    joined = _token_keys(deal(tokens, "token"), rules).join(_word_keys(dictionary, rules), ["rule", "l1", "l2", "route", "key"])
     pairs = (
         joined.filter(f"route <> {BY_PART} or levenshtein(token, word, distance) >= 0")
         .groupBy("rule", "token", "word")

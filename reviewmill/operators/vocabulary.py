@@ -13,6 +13,7 @@ from reviewmill.config import ReviewConfig
 from reviewmill.functions.candidates import REPEATED, leet_candidates, repeat_candidates
 from reviewmill.operators.fuzzy import rank_candidates
 from reviewmill.operators.tokens import is_protected
+from reviewmill.scale import deal
 
 # Prefixes and suffixes a form may lose, longest first.
 AFFIXES = (r"^(meng|mem|men|me|ber|ter|di|ke|se|pe)", r"(nya|kan|an|i|lah|kah|ku|mu)$")
@@ -78,7 +79,8 @@ def spelling_candidates(residue: DataFrame, lexicons: Lexicons, cfg: ReviewConfi
         )
     )
     return (
-        residue.select("token", F.inline_outer(entries))
+        deal(residue, "token")
+        .select("token", F.inline_outer(entries))
         .select("token", "rule", F.explode_outer("candidates").alias("candidate"))
         .filter("candidate <> ''")
     )

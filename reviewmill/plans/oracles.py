@@ -274,25 +274,32 @@ def _model(prefix: str, docs: str, train: str, score: str) -> dict[str, str]:
     }
 
 
+def _split(prefix: str, source: str) -> dict[str, str]:
+    p = prefix
+    return {
+        f"{p}quotas": f"""SELECT label, whole + CASE WHEN row_number() OVER (ORDER BY exact - whole DESC, label) <= tests - sum(whole) OVER ()
+                THEN 1 ELSE 0 END AS quota FROM (
+            SELECT label, n * tests / total AS exact, floor(n * tests / total) AS whole, tests FROM (
+                SELECT quality AS label, count(*) AS n, (SELECT count(*) FROM {source}) AS total,
+                    ceil({CFG.test_size}::double * (SELECT count(*) FROM {source})) AS tests FROM {source} GROUP BY quality))""",
+        f"{p}split": f"""SELECT doc_id, quality, row_number() OVER (
+                PARTITION BY quality ORDER BY md5('{CFG.seed}|' || doc_id::varchar), doc_id) <= quota AS is_test
+            FROM {source} JOIN {p}quotas ON quality = {p}quotas.label""",
+    }
+
+
+CTES |= _split("", "labelled") | _split("first_", "firsts")
 CTES |= {
     "labelled": "SELECT d.*, l.quality, l.toxic FROM documents d JOIN labels l USING (doc_id)",
     "reviews": "SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)",
     "lines": """SELECT doc_id, unnest(range(len(t))) AS line_no, unnest(t) AS text FROM (
         SELECT doc_id, string_split(text, chr(10)) AS t FROM documents)""",
     "structured": f"SELECT doc_id AS id, quality AS label, {clean_structure('text')} AS text FROM labelled",
-    "quotas": f"""SELECT label, whole + CASE WHEN row_number() OVER (ORDER BY exact - whole DESC, label) <= tests - sum(whole) OVER ()
-            THEN 1 ELSE 0 END AS quota FROM (
-        SELECT label, n * tests / total AS exact, floor(n * tests / total) AS whole, tests FROM (
-            SELECT quality AS label, count(*) AS n, (SELECT count(*) FROM labelled) AS total,
-                ceil({CFG.test_size}::double * (SELECT count(*) FROM labelled)) AS tests FROM labelled GROUP BY quality))""",
-    "split": f"""SELECT doc_id, quality, row_number() OVER (
-            PARTITION BY quality ORDER BY md5('{CFG.seed}|' || doc_id::varchar), doc_id) <= quota AS is_test
-        FROM labelled JOIN quotas ON quality = quotas.label""",
     "struct_split": "SELECT s.*, split.is_test FROM structured s JOIN split ON s.id = split.doc_id",
     "train_split": "SELECT id, label, text FROM struct_split WHERE NOT is_test",
     "all_structured": f"SELECT doc_id AS id, {clean_structure('text')} AS text FROM documents",
-    "full_split": "SELECT c.id, c.clean_text AS text, split.quality AS label, split.is_test FROM cleaned c JOIN split ON c.id = split.doc_id JOIN firsts ON firsts.doc_id = c.id",
-    "firsts": "SELECT min(doc_id) AS doc_id FROM labelled GROUP BY text, quality",
+    "full_split": "SELECT c.id, c.clean_text AS text, f.quality AS label, f.is_test FROM cleaned c JOIN first_split f ON c.id = f.doc_id",
+    "firsts": "SELECT min(doc_id) AS doc_id, quality FROM labelled GROUP BY text, quality",
     "pairs": "SELECT quality AS actual, 1 - toxic AS predicted FROM labels",
     "matrix": """SELECT a.x AS actual, p.x AS predicted, count(t.actual) AS n FROM (VALUES (0), (1)) a(x) CROSS JOIN (VALUES (0), (1)) p(x)
         LEFT JOIN pairs t ON t.actual = a.x AND t.predicted = p.x GROUP BY a.x, p.x""",

@@ -44,8 +44,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def deal(df: DataFrame, key: str) -> DataFrame:
+    """Hash rows that are about to grow a lot over all shuffle partitions.
+
+    The number is given, so these small rows are not merged into few tasks again.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, key)
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out an input that has fewer splits than there are task slots, such as one small file."""
+    """Deal out a plain scan that has fewer splits than there are task slots, such as one small file."""
     slots = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SCHEMA = "timestamp STRING, text STRING, sentimen STRING, tingkat_keyakinan DOUBLE"
@@ -26,4 +26,5 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 def prediction_counts(df: DataFrame, label: str) -> DataFrame:
     """(label, n, share) by falling count."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"))
-    return counts.withColumn("share", F.round(F.col("n") / counts.agg(F.sum("n")).scalar(), 6)).orderBy(F.desc("n"), "label")
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # one row per label
+    return counts.withColumn("share", F.round(F.col("n") / total, 6)).orderBy(F.desc("n"), "label")
