@@ -30,7 +30,7 @@ from reviewmill.functions.candidates import (
     token_parts,
     word_parts,
 )
-from reviewmill.scale import deal
+from reviewmill.scale import deal, materialize
 
 MAX_DELETIONS = 2
 BY_DELETION, BY_PART, BY_CONTAINMENT = 0, 1, 2
@@ -96,32 +96,30 @@ def rule_matches(tokens: DataFrame, dictionary: DataFrame, rules: Rules) -> Data
 
     ``tokens`` holds distinct (rule, token), ``dictionary`` distinct ``word``.
     """
-    joined = _token_keys(deal(tokens, "token"), rules).join(_word_keys(dictionary, rules), ["rule", "l1", "l2", "route", "key"])
-    pairs = (
-        joined.filter(f"route <> {BY_PART} or levenshtein(token, word, distance) >= 0")
-        .groupBy("rule", "token", "word")
-        .agg(F.expr(f"max(if(route <> {BY_CONTAINMENT}, distance, null)) as distance"), F.max("route").alias("route"))
-    )
+    joined = _token_keys(tokens, rules).join(_word_keys(dictionary, rules), ["rule", "l1", "l2", "route", "key"])
     # An equal remainder at distance 1 or 2 already is the distance, unless the words are equal.
     found = (
-        F.when(F.expr("token = word"), F.lit(0))
+        F.when(F.expr(f"route = {BY_CONTAINMENT}"), F.lit(None))
+        .when(F.expr("token = word"), F.lit(0))
         .when(F.expr("distance <= 2"), F.col("distance"))
-        .when(F.expr("distance > 2"), F.expr("length(token) + length(word)") - 2 * common_subsequence("token", "word"))
+        .otherwise(F.expr("length(token) + length(word)") - 2 * common_subsequence("token", "word"))
     )
-    return (
-        pairs.withColumn("found", found)
-        .filter(f"route = {BY_CONTAINMENT} or found <= distance")
-        .selectExpr(
-            "rule", "token", "word",
-            f"""if(route = {BY_CONTAINMENT}, double({CONTAINED_SCORE}),
-                (1 - found / (length(token) + length(word))) * 100) as score""",
-        )
+    pairs = (
+        joined.filter(f"route <> {BY_PART} or levenshtein(token, word, distance) >= 0")
+        .withColumn("found", found)
+        .groupBy("rule", "token", "word")
+        .agg(F.max("found").alias("found"), F.max("distance").alias("distance"), F.max("route").alias("route"))
+    )
+    return pairs.filter(f"route = {BY_CONTAINMENT} or found <= distance").selectExpr(
+        "rule", "token", "word",
+        f"""if(route = {BY_CONTAINMENT}, double({CONTAINED_SCORE}),
+            (1 - found / (length(token) + length(word))) * 100) as score""",
     )
 
 
 def fuzzy_matches(tokens: DataFrame, dictionary: DataFrame, ratio: float, threshold: float) -> DataFrame:
     """All (token, word, score) with score >= ``threshold``."""
-    ruled = tokens.select("token", F.lit(0).alias("rule"))
+    ruled = deal(tokens.select("token", F.lit(0).alias("rule")), "token")
     return rule_matches(ruled, dictionary, {0: (ratio, threshold)}).drop("rule")
 
 
@@ -155,11 +153,13 @@ def rank_candidates(candidates: DataFrame, dictionary: DataFrame, rules: Rules,
     """
     words = dictionary.select(F.col("word").alias("candidate"), F.lit(True).alias("known"))
     group = Window.partitionBy("token", "rule")
-    checked = candidates.join(words, "candidate", "left").withColumn("exact", F.coalesce(F.max("known").over(group), F.lit(False)))
+    checked = materialize(
+        candidates.join(words, "candidate", "left").withColumn("exact", F.coalesce(F.max("known").over(group), F.lit(False)))
+    )
     choices = checked.filter("known").select("token", "rule", "candidate", "exact", F.col("candidate").alias("word"), F.lit(100.0).alias("score"))
     if fuzzy:
         open_ = checked.filter(~F.col("exact") & F.col("candidate").rlike("^[a-z]+$")).select("token", "rule", "candidate", "exact")
-        spellings = open_.select("rule", F.col("candidate").alias("token")).distinct()
+        spellings = deal(open_.select("rule", F.col("candidate").alias("token")), "token").distinct()
         similar = rule_matches(spellings, dictionary, rules).withColumnRenamed("token", "candidate")
         choices = choices.unionByName(open_.join(similar, ["rule", "candidate"]))
     order = group.orderBy(F.desc("score"), F.length("candidate"), "candidate", F.length("word"), "word")

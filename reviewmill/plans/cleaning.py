@@ -25,7 +25,7 @@ def decide_tokens(
     counts: DataFrame, lexicons: Lexicons, cfg: ReviewConfig = ReviewConfig(), fuzzy: bool = True
 ) -> DataFrame:
     """(token, normalized, source, stem, kept, is_negation, is_exclusion) per distinct token."""
-    decided = normalize_vocab(counts, lexicons, cfg, fuzzy)
+    decided = materialize(normalize_vocab(counts, lexicons, cfg, fuzzy))
     word = F.col("normalized")
     distinct = decided.select(word.alias("token")).distinct()
     stems = stem_tokens(distinct, lexicons.roots, lexicons.dictionary, lexicons.exclusions, lexicons.affixes)
