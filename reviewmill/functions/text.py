@@ -52,7 +52,8 @@ def remove_web_noise(col: Column) -> Column:
 
 
 def clean_structure(col: Column) -> Column:
-    return collapse_ws(F.regexp_replace(F.lower(strip_markup(col)), UNSAFE, " "))
+    # Symbols and whitespace both end up as single spaces, so one pass does for both.
+    return F.trim(F.regexp_replace(F.lower(strip_markup(col)), "[^a-z0-9_]+", " "))
 
 
 def safe_text_token(col: Column) -> Column:
