@@ -26,6 +26,12 @@ EMOJI = (
     rf"|{_ONE}(?:\x{{200d}}{_ONE})*"
 )
 
+# Every emoji holds a character from here on, which is quicker to rule out.
+EMOJI_HINT = r"[\x{2000}-\x{10ffff}]"
+# Lead bytes of UTF-8 emoji, as Latin-1 and code page 1252 both show them. A text
+# without them gains no emoji by decoding, and the text itself wins ties.
+MOJIBAKE_HINT = r"[\x{e2}\x{e3}\x{f0}]"
+
 # Characters code page 1252 puts at bytes 0x80 to 0x9f.
 CP1252_BYTES = {
     0x80: "€", 0x82: "‚", 0x83: "ƒ", 0x84: "„", 0x85: "…", 0x86: "†", 0x87: "‡",
@@ -54,15 +60,18 @@ def _bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _weave(col: Column, pattern: str, token_of) -> Column:
-    """Replace each match by `` token ``, where ``token_of`` maps a match to its token."""
+def _weave(col: Column, pattern: str, token_of, hint: str | None = None) -> Column:
+    """Replace each match by `` token ``, where ``token_of`` maps a match to its token.
+
+    ``hint`` is a cheap pattern that every text with a match also matches.
+    """
 
     def replaced(text: Column) -> Column:
         gaps = F.split(text, pattern, -1)
         found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
         padded = F.transform(found, lambda m: F.concat(F.lit(" "), token_of(m), F.lit(" ")))
         woven = F.zip_with(gaps, padded, lambda gap, token: F.concat(gap, F.coalesce(token, F.lit(""))))
-        return F.when(text.rlike(pattern), F.array_join(woven, "")).otherwise(text)
+        return F.when(text.rlike(hint or pattern), F.array_join(woven, "")).otherwise(text)
 
     return _bind(col, replaced)
 
@@ -87,6 +96,10 @@ def emoji_description(name: Column, unknown: str = config.UNKNOWN_EMOJI) -> Colu
     return F.when(token != "", token).otherwise(F.lit(unknown))
 
 
+def _hinted(keys: Iterable[str]) -> bool:
+    return all(any(ord(c) >= 0x2000 for c in key) for key in keys)
+
+
 def emoji_pattern(keys: Iterable[str]) -> str:
     known = alternation(keys)
     return f"{known}|{EMOJI}" if known else EMOJI
@@ -107,7 +120,8 @@ def convert_emojis(col: Column, emojis: Mapping[str, str], names: Mapping[str, s
         name = F.coalesce(F.try_element_at(described, match), F.try_element_at(described, bare), F.lit(""))
         return F.coalesce(*known, emoji_description(name))
 
-    return _weave(col, emoji_pattern([*emojis, *names]), token_of)
+    keys = [*emojis, *names]
+    return _weave(col, emoji_pattern(keys), token_of, EMOJI_HINT if _hinted(keys) else None)
 
 
 def count_emoticons(col: Column, emoticons: Mapping[str, str]) -> Column:
@@ -150,9 +164,12 @@ def _repaired(col: Column) -> Column:
     readings = F.transform(
         F.array(col, latin1, cp1252, mixed),
         lambda reading, i: F.struct(
-            F.coalesce(F.regexp_count(reading, F.lit(EMOJI)), F.lit(-1)).alias("n"),
+            F.when(reading.isNull(), -1)
+            .when(reading.rlike(EMOJI_HINT), F.regexp_count(reading, F.lit(EMOJI)))
+            .otherwise(0)
+            .alias("n"),
             (-i).alias("order"),
             reading.alias("text"),
         ),
     )
-    return F.when(col.rlike(r"[^\x{00}-\x{7f}]"), F.array_max(readings)["text"]).otherwise(col)
+    return F.when(col.rlike(MOJIBAKE_HINT), F.array_max(readings)["text"]).otherwise(col)
