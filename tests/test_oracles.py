@@ -7,8 +7,11 @@ from reviewmill.plans.oracles import ORACLES
 from reviewmill.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-# The long runs are covered by tests/check_oracles.py; these cover every operator once.
-LONG = {"save_model", "nb_predict_proba", "confidence_level", "normalization_stats", "clean_text_fuzzy"}
+# The long runs repeat work that other cases and test files cover; tests/check_oracles.py runs them too.
+LONG = {
+    "save_model", "load_model", "nb_predict_proba", "confidence_level", "normalization_stats", "clean_text_fuzzy",
+    "batch_score", "train_and_evaluate", "best_dictionary_candidate", "typo_correction", "fuzzy_score",
+}
 
 
 @pytest.fixture(scope="module")
