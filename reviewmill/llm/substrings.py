@@ -421,7 +421,10 @@ def _repeated(cells: DataFrame, cell: int, length: int) -> DataFrame:
             copies = level.select("p1", "p2", "at", _starts(width).alias("n"), *name).join(several, ["q1", "q2"])
             copies = copies.select("p1", "p2", "at", "n")
         sizes = stored(documents.groupBy("k1", "k2").agg(F.count("*").alias("_size")).filter("_size > 1"))
-        shared = documents.join(sizes, ["k1", "k2"])
+        # a document that stands for several is done with, but others may match it
+        alone = [F.when(F.col("m") == 1, F.col(c)).alias(c) for c in ("p1", "p2", "at")]
+        shared = documents.select("k1", "k2", "l", "r", *alone).join(sizes, ["k1", "k2"])
+        shared = shared.withColumn("at", F.coalesce("at", F.lit(0)))
         ordered = _order_cells(shared.filter(F.col("_size") <= TOGETHER), width, length + 1 - width, length)
         part = stored(copies.unionByName(ordered))
         found = part if found is None else found.unionByName(part)

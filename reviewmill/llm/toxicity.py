@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,14 +29,18 @@ class Bounds:
     depend on the order or the number of partitions.
     """
 
-    dictionary_documents: int = 3000
-    calibration_documents: int = 8000
+    dictionary_documents: int = 4000
+    calibration_documents: int = 4000
     windows: int = 40_000
     ordinary_bytes: int = 64 * 1024
     toxic_bytes: int = 4 * 1024
     level: int = 6
     #: Words of a window.
     width: int = 1
+    #: The toxic dictionary learns words of which the ordinary one spares at most so many bytes,
+    #: and which occur in so many windows.
+    spared: int = 3
+    seen: int = 5
     #: Compressed windows a task remembers.
     remembered: int = 200_000
 
@@ -165,13 +170,15 @@ def train(
         return none
     left = Lengths(ordinary, bounds.level)
     plain = left(b"")
-    rest = []
-    for window in windows.get(1, []):
-        # what the ordinary dictionary can't shorten; each window's words once
-        kept = sorted({w for w in window.split() if len(w) > 2 and left(w) - plain >= len(w) - 1})
-        if kept:
-            rest.append(b" " + b" ".join(kept) + b" ")
-    learnt = _dictionary(rest, bounds.toxic_bytes)
+    # what the ordinary dictionary can't shorten, each window's words once
+    rest = [
+        sorted({w for w in window.split() if len(w) > 2 and left(w) - plain >= len(w) - bounds.spared})
+        for window in sorted(set(windows.get(1, [])))
+    ]
+    seen = Counter(w for window in rest for w in window)
+    often = [[w for w in window if seen[w] >= bounds.seen] for window in rest]
+    rest = [b" " + b" ".join(window) + b" " for window in often if window]
+    learnt = _dictionary(rest, bounds.toxic_bytes, 16)
     if not learnt:
         return none
     model = Model(ordinary, learnt, none.weights, none.middle, none.spread, bounds)
@@ -201,13 +208,13 @@ def _windows(sample: DataFrame, bounds: Bounds) -> dict[int, list[bytes]]:
     return out
 
 
-def _dictionary(samples: list[bytes], size: int) -> bytes:
+def _dictionary(samples: list[bytes], size: int, segment: int = 32) -> bytes:
     """A trained dictionary, or nothing if there is too little to train on."""
     total = sum(map(len, samples))
     if len(samples) < 8 or total < 2048:
         return b""
     try:
-        return zstandard.train_dictionary(min(size, max(1024, total // 8)), samples, k=32, d=6).as_bytes()
+        return zstandard.train_dictionary(min(size, max(1024, total // 8)), samples, k=segment, d=6).as_bytes()
     except zstandard.ZstdError:
         return b""
 
