@@ -20,32 +20,122 @@ def repeat_candidates(col: Column) -> Column:
     )
 
 
-def leet_candidates(
-    col: Column, rules: Mapping[str, Sequence[str]] = config.LEET, limit: int = config.ReviewConfig.max_leet_candidates
-) -> Column:
-    """Every reading of the digits as letters, the digits themselves included.
+def _ambiguous(rules: Mapping[str, Sequence[str]]) -> dict[str, tuple[str, ...]]:
+    """Symbols with several readings."""
+    return {symbol: tuple(sorted(set(letters))) for symbol, letters in rules.items() if len(set(letters)) > 1}
 
-    ``limit`` is the configured number of readings kept after each character,
-    smallest first.
+
+def _classes(rules: Mapping[str, Sequence[str]]) -> tuple[str, str]:
+    """Arguments for translate: every symbol and letter of a rule to one letter for all that look alike."""
+    name: dict[str, str] = {}
+    for symbol, letters in rules.items():
+        linked = {name.get(x, x) for x in (symbol, *letters)}
+        best = min(linked, key=lambda x: (x.isdigit(), x))
+        for x in (symbol, *letters):
+            name.setdefault(x, x)
+        name = {x: best if y in linked else y for x, y in name.items()}
+    pairs = sorted((x, y) for x, y in name.items() if x != y)
+    return "".join(x for x, _ in pairs), "".join(y for _, y in pairs)
+
+
+def lookalike_key(col: Column, rules: Mapping[str, Sequence[str]] = config.LEET) -> Column:
+    """Equal for all spellings that may be read alike: characters by class, runs cut to one."""
+    return F.regexp_replace(F.translate(col, *_classes(rules)), r"(.)\1+", "$1")
+
+
+def lookalike_pattern(word: Column, rules: Mapping[str, Sequence[str]] = config.LEET) -> Column:
+    """The expression that a token matches if one of its readings is ``word``.
+
+    A reading counts as it is, or with all its runs of three or more letters cut
+    to one, or all of them to two. It is one pattern for a word, however many
+    readings a token has.
     """
-    options = F.create_map(
-        *[x for char, letters in sorted(rules.items()) for x in (F.lit(char), F.array(*[F.lit(o) for o in dict.fromkeys((char, *letters))]))]
-    )
+    symbols: dict[str, str] = {}
+    for symbol, letters in sorted(rules.items()):
+        for letter in letters:
+            symbols[letter] = symbols.get(letter, letter) + symbol
+    known = F.create_map(*[F.lit(x) for c, s in symbols.items() for x in (c, f"[{s}]")])
+    runs = F.regexp_extract_all(word, F.lit(r"((.)\2*)"), F.lit(1))
+
+    def spelled(of: list[str], longer: str) -> Column:
+        """``of``: what a run of one and of two letters stands for; ``longer``: any longer run."""
+
+        def run(r: Column) -> Column:
+            one = F.substring(r, 1, 1)
+            kind = F.coalesce(F.try_element_at(known, one), one)
+            text = F.when(F.length(r) == 1, F.lit(of[0])).when(F.length(r) == 2, F.lit(of[1])).otherwise(F.lit(longer))
+            return F.replace(F.replace(text, F.lit("X"), kind), F.lit("N"), F.length(r).cast("string"))
+
+        return F.array_join(F.transform(runs, run), "")
+
+    return F.concat(
+        F.lit("^(?:"), spelled(["X", "X{2}"], "X{N}"),
+        F.lit("|"), spelled(["(?:X|X{3,})", "X{2}"], "(?!)"),
+        F.lit("|"), spelled(["X", "X{2,}"], "(?!)"), F.lit(")$"),
+    )
+
+
+def letter_reading(col: Column, rules: Mapping[str, Sequence[str]] = config.LEET) -> Column:
+    """Symbols with one reading as that letter; symbols with several stay and stand for any of them."""
+    single = {s: letters[0] for s, letters in sorted(rules.items()) if len(set(letters)) == 1}
+    return F.translate(col, "".join(single), "".join(single.values()))
 
-    def extend(prefixes: Column, char: Column) -> Column:
-        choices = F.coalesce(F.try_element_at(options, char), F.array(char))
-        longer = F.flatten(F.transform(prefixes, lambda p: F.transform(choices, lambda c: F.concat(p, c))))
-        return F.slice(F.sort_array(longer), 1, limit)
 
-    return F.aggregate(F.split(col, ""), F.array(F.lit("")), extend)
+def open_letters(rules: Mapping[str, Sequence[str]] = config.LEET) -> str:
+    """The body of a character class: letters and the symbols that ``letter_reading`` leaves."""
+    return "a-z" + "".join(sorted(_ambiguous(rules)))
+
+
+def reading_candidates(col: Column, rules: Mapping[str, Sequence[str]] = config.LEET) -> Column:
+    """The letter reading, as it is and with its runs cut to one and to two."""
+    reading = letter_reading(col, rules)
+
+    def cut(by: int) -> Column:
+        text = reading
+        for symbol, letters in sorted(_ambiguous(rules).items()):
+            for letter in letters:
+                text = F.regexp_replace(text, f"(?={symbol}*{letter})[{letter}{symbol}]{{3,}}", letter * by)
+        return F.regexp_replace(text, rf"([{open_letters(rules)}])\1{{2,}}", "$1" * by)
+
+    return F.array_distinct(F.array(reading, cut(1), cut(2)))
+
+
+def open_class(col: Column, rules: Mapping[str, Sequence[str]] = config.LEET) -> Column:
+    """Symbols with several readings and those letters as one letter, so that equal readings are equal."""
+    return F.translate(col, *_classes(_ambiguous(rules)))
+
+
+def open_score(a: str, b: str, rules: Mapping[str, Sequence[str]] = config.LEET) -> Column:
+    """``fuzzy_score`` of the best reading of ``a``, in which symbols stand for their letters, with the word ``b``."""
+    la, lb = F.length(a), F.length(b)
+    total = la + lb
+    reads = "".join(
+        f" or (c = '{symbol}' and substr({b}, j, 1) in ({', '.join(repr(x) for x in letters)}))"
+        for symbol, letters in sorted(_ambiguous(rules).items())
+    )
+    base = (1 - (total - 2 * common_subsequence(a, b, reads)) / total) * 100
+    of_a, of_b = F.col(a), F.col(b)
+    for symbol, letters in sorted(_ambiguous(rules).items()):
+        of_a = F.replace(of_a, F.lit(symbol), F.lit(f"[{''.join(letters)}]"))
+        for letter in letters:
+            of_b = F.replace(of_b, F.lit(letter), F.lit(f"[{letter}{symbol}]"))
+    inside = (F.greatest(la, lb) * 2 >= F.least(la, lb) * 3) & (F.rlike(F.col(b), of_a) | F.rlike(F.col(a), of_b))
+    first = F.lit(False)
+    for symbol, letters in sorted(_ambiguous(rules).items()):
+        first = first | ((F.substring(a, 1, 1) == symbol) & F.substring(b, 1, 1).isin(*letters))
+    starts = first | (F.substring(a, 1, 1) == F.substring(b, 1, 1))
+    return F.when(starts, F.when(inside, F.greatest(base, F.lit(CONTAINED_SCORE))).otherwise(base))
 
 
 # The expressions below take column names and are written as SQL text: nested
 # lambdas read better that way and reach the JVM in one call.
 
 
-def common_subsequence(a: str, b: str) -> Column:
-    """Length of the longest common subsequence of two non-empty words, row by row of the usual table."""
+def common_subsequence(a: str, b: str, also: str = "") -> Column:
+    """Length of the longest common subsequence of two non-empty words, row by row of the usual table.
+
+    ``also`` is SQL for further pairs that count as equal: ``c`` is the character of ``a``, ``j`` the place in ``b``.
+    """
     return F.expr(
         f"""
         element_at(aggregate(
@@ -55,7 +145,7 @@ def common_subsequence(a: str, b: str) -> Column:
                 sequence(1, length({b})),
                 array(0),
                 (done, j) -> array_append(done, if(
-                    substr({b}, j, 1) = c,
+                    substr({b}, j, 1) = c{also},
                     element_at(above, j) + 1,
                     greatest(element_at(above, j + 1), element_at(done, -1))
                 ))

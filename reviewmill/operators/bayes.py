@@ -14,7 +14,7 @@ from reviewmill.operators.features import (
     term_counts,
     tfidf_l2,
 )
-from reviewmill.scale import materialize, salted_join
+from reviewmill.scale import hot_cold_join, materialize
 from reviewmill.sources.models import Model
 
 
@@ -55,7 +55,7 @@ def train_model(docs: DataFrame, row_id: str, text: str, label: str, cfg: Review
     Every term of the vocabulary occurs in some training document, so the term
     sums cover the whole vocabulary.
     """
-    counts = term_counts(docs, row_id, text, cfg.ngram_min, cfg.ngram_max, keep=(label,))
+    counts = materialize(term_counts(docs, row_id, text, cfg.ngram_min, cfg.ngram_max, keep=(label,)))
     n_docs = docs.count()
     vocab = materialize(idf_smooth(document_frequency(counts, n_docs, cfg.min_df, cfg.max_df), n_docs))
     weights = tfidf_l2(counts, vocab, keep=(label,))
@@ -77,9 +77,9 @@ def _score_columns(model: Model) -> Column:
 
 def joint_scores(docs: DataFrame, row_id: str, text: str, model: Model, cfg: ReviewConfig = ReviewConfig()) -> DataFrame:
     """(id, scores): one score per label for every document, those without known terms included."""
-    counts = term_counts(docs, row_id, text, cfg.ngram_min, cfg.ngram_max)
+    counts = materialize(term_counts(docs, row_id, text, cfg.ngram_min, cfg.ngram_max))
     raw = F.col("tf") * F.col("idf")
-    hits = salted_join(counts, model.terms, "term", "id", model.terms, "df")
+    hits = hot_cold_join(counts, model.terms, "term", model.terms, "df")
     sums = hits.groupBy("id").agg(
         F.sum(raw * raw).alias("square"),
         *[F.sum(raw * F.col("log_probs")[i]).alias(f"dot{i}") for i in range(len(model.labels))],

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reviewmill import config
 from reviewmill.functions.labels import display_label
 from reviewmill.functions.text import word_count
+from reviewmill.operators.tokens import kept_words
 
 
 def chart_label_distribution(df: DataFrame, label: str, order: Sequence[str] = config.CHART_LABEL_ORDER) -> DataFrame:
@@ -80,11 +81,15 @@ def chart_boxplot(df: DataFrame, text: str) -> DataFrame:
     )
 
 
-def chart_top_words(tokens: DataFrame, k: int = 20, row_id: str = "id") -> DataFrame:
-    """The ``k`` most frequent tokens; ties go to the earlier first occurrence."""
-    counts = tokens.groupBy(F.col("token").alias("word")).agg(
-        F.count("*").alias("n"), F.min(F.struct(row_id, "pos")).alias("first")
-    )
+def chart_top_words(tokens: DataFrame, k: int = 20, row_id: str = "id", stopwords: DataFrame | None = None) -> DataFrame:
+    """The ``k`` most frequent tokens; ties go to the earlier first occurrence.
+
+    Short tokens and ``stopwords`` are taken out of the counts, one row per word.
+    """
+    counts = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min(F.struct(row_id, "pos")).alias("first"))
+    if stopwords is not None:
+        counts = kept_words(counts, stopwords)
+    counts = counts.withColumnRenamed("token", "word")
     return counts.orderBy(F.desc("n"), "first").limit(k).select("word", "n")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewmill.scale import deal, salted_join
+from reviewmill.scale import deal, hot_cold_join, materialize
 
 _BUCKET_DIGITS = 4  # 65,536 hash buckets per label
 
@@ -116,8 +116,8 @@ def document_frequency(counts: DataFrame, n_docs: int | Column, min_df: int = 2,
 
 
 def tf(counts: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(id, term, tf) restricted to the vocabulary; frequent terms are spread over tasks."""
-    return salted_join(counts, vocab.select("term"), "term", "id", vocab, "df").select("id", "term", "tf")
+    """(id, term, tf) restricted to the vocabulary; ``counts`` is read twice, frequent terms stay where they are."""
+    return hot_cold_join(counts, vocab.select("term"), "term", vocab, "df").select("id", "term", "tf")
 
 
 def idf_smooth(vocab: DataFrame, n_docs: int | Column) -> DataFrame:
@@ -129,10 +129,12 @@ def idf_smooth(vocab: DataFrame, n_docs: int | Column) -> DataFrame:
 def tfidf_l2(counts: DataFrame, vocab: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, *keep, term, weight): tf * idf divided by the document's length.
 
-    The window groups the terms of one document, which was one row before.
+    The squared lengths are one aggregate per document, joined back.
     """
-    raw = salted_join(counts, vocab.select("term", "idf"), "term", "id", vocab, "df").withColumn(
-        "raw", F.col("tf") * F.col("idf")
+    raw = materialize(
+        hot_cold_join(counts, vocab.select("term", "idf"), "term", vocab, "df").select(
+            "id", *keep, "term", (F.col("tf") * F.col("idf")).alias("raw")
+        )
     )
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("id")))
-    return raw.select("id", *keep, "term", (F.col("raw") / norm).alias("weight"))
+    squares = raw.groupBy("id").agg(F.sum(F.col("raw") * F.col("raw")).alias("square"))
+    return raw.join(squares, "id").select("id", *keep, "term", (F.col("raw") / F.sqrt("square")).alias("weight"))

@@ -15,17 +15,23 @@ the matching pairs. Two other kinds of join key cover the rest:
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmill import config
 from reviewmill.functions.candidates import (
     CONTAINED_SCORE,
     allowed_distance,
     common_subsequence,
     deletions,
     length_gap,
+    lookalike_key,
+    lookalike_pattern,
+    open_class,
+    open_letters,
+    open_score,
     substrings,
     token_parts,
     word_parts,
@@ -36,6 +42,7 @@ MAX_DELETIONS = 2
 BY_DELETION, BY_PART, BY_CONTAINMENT = 0, 1, 2
 # Per rule: how far lengths may differ (a share of the token) and the lowest score.
 Rules = Mapping[int, tuple[float, float]]
+Leet = Mapping[str, Sequence[str]]
 
 
 def _setting(rules: Rules, place: int) -> str:
@@ -61,11 +68,17 @@ def _routes(df: DataFrame) -> DataFrame:
     )
 
 
-def _token_keys(tokens: DataFrame, rules: Rules) -> DataFrame:
+def _blocks(dictionary: DataFrame) -> DataFrame:
+    """The first letters and lengths that words have; others need no keys."""
+    return dictionary.select(F.expr("substr(word, 1, 1)").alias("first"), F.length("word").alias("l2")).distinct()
+
+
+def _token_keys(tokens: DataFrame, dictionary: DataFrame, rules: Rules) -> DataFrame:
     sized = tokens.selectExpr(
         "rule", "token", "length(token) as l1", f"{_setting(rules, 0)} as ratio", f"{_setting(rules, 1)} as threshold"
     ).withColumn("gap", length_gap("l1", "ratio"))
-    routed = _routes(sized.selectExpr("*", "explode(sequence(l1 - gap, l1 + gap)) as l2"))
+    near = sized.selectExpr("*", "substr(token, 1, 1) as first", "explode(sequence(l1 - gap, l1 + gap)) as l2")
+    routed = _routes(near.join(_blocks(dictionary), ["first", "l2"], "left_semi"))
     return routed.selectExpr(
         "rule", "token", "l1", "l2", "route", "distance",
         f"""explode_outer(case route
@@ -96,7 +109,7 @@ def rule_matches(tokens: DataFrame, dictionary: DataFrame, rules: Rules) -> Data
 
     ``tokens`` holds distinct (rule, token), ``dictionary`` distinct ``word``.
     """
-    joined = _token_keys(tokens, rules).join(_word_keys(dictionary, rules), ["rule", "l1", "l2", "route", "key"])
+    joined = _token_keys(tokens, dictionary, rules).join(_word_keys(dictionary, rules), ["rule", "l1", "l2", "route", "key"])
     # An equal remainder at distance 1 or 2 already is the distance, unless the words are equal.
     found = (
         F.when(F.expr(f"route = {BY_CONTAINMENT}"), F.lit(None))
@@ -144,25 +157,66 @@ def dictionary_block(tokens: DataFrame, dictionary: DataFrame, ratio: float) ->
     )
 
 
-def rank_candidates(candidates: DataFrame, dictionary: DataFrame, rules: Rules, fuzzy: bool = True) -> DataFrame:
+def lookalike_matches(tokens: DataFrame, dictionary: DataFrame, leet: Leet = config.LEET) -> DataFrame:
+    """(token, word): the words that a reading of a token's symbols spells.
+
+    Tokens and words meet on a key of look-alike classes, one row for each; then
+    each position is checked by the word's pattern. No reading is enumerated.
+    """
+    keyed = tokens.select("token", lookalike_key(F.col("token"), leet).alias("key"))
+    words = dictionary.select("word", lookalike_key(F.col("word"), leet).alias("key"), lookalike_pattern(F.col("word"), leet).alias("spelled"))
+    return keyed.join(words, "key").filter(F.rlike("token", F.col("spelled"))).select("token", "word")
+
+
+def _open_matches(candidates: DataFrame, dictionary: DataFrame, rules: Rules, leet: Leet) -> DataFrame:
+    """(rule, candidate, word, score) for candidates with symbols that have several readings.
+
+    The pairs are found where such symbols and their letters count as one letter,
+    which no reading can miss; then the best reading of each pair is scored.
+    """
+    keyed = candidates.select("rule", "candidate", open_class(F.col("candidate"), leet).alias("token"))
+    words = materialize(dictionary.select("word", open_class(F.col("word"), leet).alias("class")))
+    found = rule_matches(keyed.select("rule", "token").distinct(), words.select(F.col("class").alias("word")).distinct(), rules)
+    pairs = keyed.join(found.select("rule", "token", F.col("word").alias("class")), ["rule", "token"]).join(words, "class")
+    scored = pairs.select("rule", "candidate", "word", open_score("candidate", "word", leet).alias("score"))
+    return scored.filter(F.col("score") >= F.expr(_setting(rules, 1)) - 1e-9)
+
+
+def rank_candidates(
+    candidates: DataFrame,
+    dictionary: DataFrame,
+    rules: Rules,
+    fuzzy: bool = True,
+    exact: DataFrame | None = None,
+    leet: Leet = config.LEET,
+) -> DataFrame:
     """(token, rule, place, exact, word) for (token, rule, candidate) rows, best first.
 
-    A candidate that is a word beats every similar word. Ties go to the shorter,
-    then smaller candidate and word. Similar words are only searched for tokens
-    without an exact candidate, and only for candidates made of letters.
+    A candidate that is a word beats every similar word, as do the words of
+    ``exact`` (token, rule, word). Ties go to the shorter candidate, then to the
+    shorter and smaller word. Similar words are only searched for tokens without
+    an exact one, and only for candidates made of letters and open symbols.
     """
     words = dictionary.select(F.col("word").alias("candidate"), F.lit(True).alias("known"))
+    rows = candidates.join(words, "candidate", "left")
+    if exact is not None:
+        rows = rows.unionByName(exact.select(F.col("word").alias("candidate"), "token", "rule", F.lit(True).alias("known")))
     group = Window.partitionBy("token", "rule")
-    checked = materialize(
-        candidates.join(words, "candidate", "left").withColumn("exact", F.coalesce(F.max("known").over(group), F.lit(False)))
-    )
-    choices = checked.filter("known").select("token", "rule", "candidate", "exact", F.col("candidate").alias("word"), F.lit(100.0).alias("score"))
+    checked = materialize(rows.withColumn("exact", F.coalesce(F.max("known").over(group), F.lit(False))))
+    choices = checked.filter("known").select(
+        "token", "rule", "candidate", "exact", F.col("candidate").alias("word"), F.lit(100.0).alias("score")
+    ).distinct()
     if fuzzy:
-        open_ = checked.filter(~F.col("exact") & F.col("candidate").rlike("^[a-z]+$")).select("token", "rule", "candidate", "exact")
-        spellings = deal(open_.select("rule", F.col("candidate").alias("token")), "token").distinct()
+        open_ = checked.filter(~F.col("exact")).select("token", "rule", "candidate", "exact")
+        plain = open_.filter(F.col("candidate").rlike("^[a-z]+$"))
+        spellings = deal(plain.select("rule", F.col("candidate").alias("token")), "token").distinct()
         similar = rule_matches(spellings, dictionary, rules).withColumnRenamed("token", "candidate")
-        choices = choices.unionByName(open_.join(similar, ["rule", "candidate"]))
-    order = group.orderBy(F.desc("score"), F.length("candidate"), "candidate", F.length("word"), "word")
+        choices = choices.unionByName(plain.join(similar, ["rule", "candidate"]))
+        if exact is not None:
+            several = open_.filter(F.col("candidate").rlike(f"^[{open_letters(leet)}]+$") & ~F.col("candidate").rlike("^[a-z]+$"))
+            distinct = deal(several.select("rule", "candidate"), "candidate").distinct()
+            choices = choices.unionByName(several.join(_open_matches(distinct, dictionary, rules, leet), ["rule", "candidate"]))
+    order = group.orderBy(F.desc(F.round("score", 9)), F.length("candidate"), F.length("word"), "word")
     return choices.withColumn("place", F.row_number().over(order)).select("token", "rule", "place", "exact", "word")
 
 

@@ -203,17 +203,16 @@ def describe_all(df: DataFrame) -> DataFrame:
     names = ["column", "count", "unique", "top", "freq", "mean", "std", "min", "q25", "q50", "q75", "max"]
     parts = []
     if other:
-        long = df.select(*[F.col(c).cast("string").alias(c) for c in other]).unpivot([], other, "column", "v")
-        counts = long.groupBy("column", "v").agg(F.count("v").alias("n"))
+        values = df.select(*[F.col(c).cast("string").alias(c) for c in other])
+        long = values.unpivot([], other, "column", "v").withColumn("h", F.when(F.col("v").isNotNull(), digest("v")))
+        counts = long.groupBy("column", "h").agg(F.count("h").alias("n"))
+        totals = counts.groupBy("column").agg(F.sum("n").alias("count"), F.count("h").alias("unique"), F.max("n").alias("freq"))
+        # the most frequent values are few digests; only theirs are looked up, the smallest one wins
+        leaders = counts.join(F.broadcast(totals.select("column", F.col("freq").alias("n"))), ["column", "n"]).filter("n > 0")
+        top = long.join(leaders.select("column", "h"), ["column", "h"], "left_semi").groupBy("column").agg(F.min("v").alias("top"))
         parts.append(
-            counts.groupBy("column")
-            .agg(
-                F.sum("n").alias("count"),
-                F.count("v").alias("unique"),
-                F.min(F.when(F.col("v").isNotNull(), F.struct((-F.col("n")).alias("n"), "v"))).alias("best"),
-            )
-            .select(
-                "column", "count", "unique", F.col("best.v").alias("top"), (-F.col("best.n")).alias("freq"),
+            totals.join(top, "column", "left").select(
+                "column", "count", "unique", "top", F.when(F.col("freq") > 0, F.col("freq")).alias("freq"),
                 *[F.lit(None).cast("double").alias(c) for c in names[5:]],
             )
         )

@@ -53,13 +53,27 @@ def label_distribution_raw(df: DataFrame, label: str) -> DataFrame:
 
 
 def conflict_texts(df: DataFrame, text: str, label: str) -> DataFrame:
-    """Texts that carry more than one label. Counts per (text, label) first, so copies combine early."""
-    pairs = df.filter(F.col(text).isNotNull() & F.col(label).isNotNull()).groupBy(text, label).agg(F.lit(1).alias("one"))
-    return (
-        pairs.groupBy(F.col(text).alias("text"))
-        .agg(F.count("*").alias("n_labels"))
-        .filter("n_labels > 1")
+    """Texts that carry more than one label.
+
+    Counts per (text digest, label) first, so copies combine early; the texts
+    themselves are only fetched for the digests that are reported.
+    """
+    rows = df.filter(F.col(text).isNotNull() & F.col(label).isNotNull())
+    pairs = rows.groupBy(digest(text).alias("_text"), label).agg(F.lit(1).alias("one"))
+    found = pairs.groupBy("_text").agg(F.count("*").alias("n_labels")).filter("n_labels > 1")
+    return _with_text(found, rows, F.col(text), "text").select("text", "n_labels")
+
+
+def _with_text(found: DataFrame, rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """``found`` with the value behind each digest ``_text``, taken from the rows that have it."""
+    wanted = found.select("_text")
+    texts = (
+        rows.select(digest(value).alias("_text"), value.alias(name))
+        .join(wanted, "_text", "left_semi")
+        .groupBy("_text")
+        .agg(F.first(name).alias(name))
     )
+    return found.join(texts, "_text")
 
 
 def conflict_audit(df: DataFrame, text: str, label: str) -> DataFrame:
@@ -67,13 +81,15 @@ def conflict_audit(df: DataFrame, text: str, label: str) -> DataFrame:
 
     The map holds one entry per distinct label, never one per row.
     """
-    pairs = (
-        df.filter(F.col(text).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.col(text).alias("text"), F.col(label).alias("label"))
-        .agg(F.count("*").alias("n"))
-    )
+    rows = df.filter(F.col(text).isNotNull() & F.col(label).isNotNull())
+    return _with_text(_audit(rows, text, label), rows, F.col(text), "text").select("text", "counts", "removed", "action")
+
+
+def _audit(rows: DataFrame, text: str, label: str) -> DataFrame:
+    """(_text, counts, removed, action) by text digest."""
+    pairs = rows.groupBy(digest(text).alias("_text"), F.col(label).alias("label")).agg(F.count("*").alias("n"))
     audit = (
-        pairs.groupBy("text")
+        pairs.groupBy("_text")
         .agg(
             F.sort_array(F.collect_list(F.struct("label", "n"))).alias("entries"),
             F.sum("n").alias("total"),
@@ -84,7 +100,7 @@ def conflict_audit(df: DataFrame, text: str, label: str) -> DataFrame:
     )
     unique = F.size("modes") == 1
     return audit.select(
-        "text",
+        "_text",
         F.map_from_entries("entries").alias("counts"),
         F.when(unique, F.col("total") - F.col("top")).otherwise(F.col("total")).alias("removed"),
         F.when(unique, F.concat(F.lit("drop_minority_keep_"), F.col("modes")[0]["label"].cast("string")))
@@ -94,14 +110,15 @@ def conflict_audit(df: DataFrame, text: str, label: str) -> DataFrame:
 
 
 def resolve_conflicts(df: DataFrame, text: str, label: str) -> DataFrame:
-    """Apply the audit. Joins on 32-byte digests of the few dropped (text, label) pairs."""
+    """Apply the audit. Joins on 32-byte digests of the few texts with dropped labels."""
     dropped = (
-        conflict_audit(df, text, label)
-        .select("text", "action", F.explode(F.map_keys("counts")).alias("label"))
-        .filter(F.col("action") != F.concat(F.lit("drop_minority_keep_"), F.col("label").cast("string")))
-        .select(digest("text", "label").alias("_pair"))
+        _audit(df.filter(F.col(text).isNotNull() & F.col(label).isNotNull()), text, label)
+        .select("_text", "action", F.explode(F.map_keys("counts")).alias("_label"))
+        .filter(F.col("action") != F.concat(F.lit("drop_minority_keep_"), F.col("_label").cast("string")))
     )
-    return df.withColumn("_pair", digest(text, label)).join(dropped, "_pair", "left_anti").drop("_pair")
+    named = df.withColumn("_text", digest(text))
+    same = (named["_text"] == dropped["_text"]) & (named[label] == dropped["_label"])
+    return named.join(dropped, same, "left_anti").drop("_text")
 
 
 def drop_exact_duplicates(df: DataFrame, text: str, label: str, row_id: str) -> DataFrame:
@@ -110,9 +127,6 @@ def drop_exact_duplicates(df: DataFrame, text: str, label: str, row_id: str) ->
     A min aggregate combines copies on the map side, so a text repeated in a
     third of all rows shuffles one row per task.
     """
-    extras = [c for c in df.columns if c not in (text, label, row_id)]
-    if not extras:
-        return df.groupBy(text, label).agg(F.min(row_id).alias(row_id)).select(*df.columns)
     first = df.groupBy(digest(text, label).alias("_pair")).agg(F.min(row_id).alias(row_id)).select(row_id)
     return df.join(first, row_id, "left_semi")
 
@@ -184,11 +198,13 @@ def strict_validation(df: DataFrame, text: str, label: str) -> DataFrame:
 def column_unique_check(df: DataFrame, key: str) -> DataFrame:
     """Blank and repeated values of a key column."""
     value = F.coalesce(strip_ws(F.col(key).cast("string")), F.lit(""))
-    return (
-        df.groupBy(value.alias("value"))
-        .agg(F.count("*").alias("n"))
-        .filter("value = '' OR n > 1")
-        .select(F.when(F.col("value") == "", "blank").otherwise("duplicate").alias("violation"), "value", "n")
+    found = (
+        df.groupBy(digest(value).alias("_text"))
+        .agg(F.count("*").alias("n"), F.max(value == "").alias("blank"))
+        .filter("blank OR n > 1")
+    )
+    return _with_text(found, df, value, "value").select(
+        F.when(F.col("blank"), "blank").otherwise("duplicate").alias("violation"), "value", "n"
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reviewmill import config
 from reviewmill.functions.symbols import count_emojis, count_emoticons
 from reviewmill.functions.text import WS, tokens
+from reviewmill.scale import hot_cold_join, materialize
 
 
 def tokenize(df: DataFrame, row_id: str, text: str) -> DataFrame:
@@ -31,14 +32,20 @@ def filter_tokens(
     exclusions: Sequence[str] = config.SPECIAL_TOKENS,
     min_length: int = 2,
 ) -> DataFrame:
-    """Drop short tokens and stopwords, but never protected tokens.
+    """Drop short tokens and stopwords, but never protected tokens. Each distinct token is decided once."""
+    counts = materialize(token_table.groupBy("token").agg(F.count("*").alias("n")))
+    kept = materialize(kept_words(counts, stopwords, exclusions, min_length).select("token"))
+    return hot_cold_join(token_table, kept, "token", counts)
 
-    Protected tokens get a null join key, so only the others are matched.
-    """
-    kept = token_table.filter(is_protected(F.col("token"), exclusions) | (F.length("token") >= min_length))
-    guard = F.when(~is_protected(F.col("token"), exclusions), F.col("token"))
-    words = stopwords.select(F.col(stopwords.columns[0]).alias("_word")).distinct()
-    return kept.join(words, guard == F.col("_word"), "left_anti")
+
+def kept_words(
+    words: DataFrame, stopwords: DataFrame, exclusions: Sequence[str] = config.SPECIAL_TOKENS, min_length: int = 2
+) -> DataFrame:
+    """The rows of a table of distinct tokens that are protected, or long enough and no stopword."""
+    protected = is_protected(F.col("token"), exclusions)
+    stops = stopwords.select(F.col(stopwords.columns[0]).alias("_word"), F.lit(True).alias("_stop")).distinct()
+    marked = words.join(stops, F.col("token") == F.col("_word"), "left")
+    return marked.filter(protected | ((F.length("token") >= min_length) & F.col("_stop").isNull())).drop("_word", "_stop")
 
 
 def joined_negations(items: Column) -> Column:

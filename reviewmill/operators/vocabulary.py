@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from reviewmill import config
 from reviewmill.config import ReviewConfig
-from reviewmill.functions.candidates import REPEATED, leet_candidates, repeat_candidates
-from reviewmill.operators.fuzzy import rank_candidates
+from reviewmill.functions.candidates import REPEATED, reading_candidates, repeat_candidates
+from reviewmill.operators.fuzzy import lookalike_matches, rank_candidates
 from reviewmill.operators.tokens import is_protected
 from reviewmill.scale import deal
 
@@ -28,6 +28,7 @@ class Lexicons:
     slang: DataFrame  # (token, target)
     roots: DataFrame | None = None  # (token, root)
     negations: Sequence[str] = config.NEGATIONS
+    kept_words: Sequence[str] = config.ADDITIONAL_WORDS  # like negations, no stopwords whatever the table says
     exclusions: Sequence[str] = config.SPECIAL_TOKENS
     leet: dict[str, Sequence[str]] = field(default_factory=lambda: dict(config.LEET))
     emoticons: dict[str, str] = field(default_factory=dict)
@@ -61,12 +62,14 @@ REPEAT, LEET, TYPO = 0, 1, 2
 RULE_NAMES = {REPEAT: "repeated", LEET: "leet", TYPO: "typo"}
 
 
-def spelling_candidates(residue: DataFrame, lexicons: Lexicons, cfg: ReviewConfig = ReviewConfig()) -> DataFrame:
-    """(token, rule, candidate): the spellings each rule would look up."""
+def has_symbols(token: Column) -> Column:
+    """Digits among letters."""
+    return token.rlike("[0-9]") & token.rlike("[a-z]")
+
+
+def spelling_candidates(residue: DataFrame, lexicons: Lexicons) -> DataFrame:
+    """(token, rule, candidate): the spellings each rule would look up, at most three for a token and rule."""
     token = F.col("token")
-    readings = F.array_distinct(
-        F.flatten(F.transform(leet_candidates(token, lexicons.leet, cfg.max_leet_candidates), repeat_candidates))
-    )
 
     def entry(rule: int, applies: Column, candidates: Column) -> Column:
         return F.when(applies, F.struct(F.lit(rule).alias("rule"), candidates.alias("candidates")))
@@ -74,7 +77,7 @@ def spelling_candidates(residue: DataFrame, lexicons: Lexicons, cfg: ReviewConfi
     entries = F.array_compact(
         F.array(
             entry(REPEAT, token.rlike(REPEATED), repeat_candidates(token)),
-            entry(LEET, token.rlike("[0-9]") & token.rlike("[a-z]"), readings),
+            entry(LEET, has_symbols(token), reading_candidates(token, lexicons.leet)),
             entry(TYPO, token.rlike("^[a-z]{4,}$"), F.array(token)),
         )
     )
@@ -113,8 +116,11 @@ def normalize_vocab(
         LEET: (cfg.candidate_length_ratio, cfg.leet_threshold),
         TYPO: (cfg.typo_length_ratio, cfg.typo_threshold),
     }
-    candidates = spelling_candidates(looked_up.filter("source IS NULL").select("token"), lexicons, cfg)
-    ranked = rank_candidates(candidates, dictionary, rules, fuzzy)
+    residue = looked_up.filter("source IS NULL").select("token")
+    candidates = spelling_candidates(residue, lexicons)
+    alike = lookalike_matches(residue.filter(has_symbols(token)), dictionary, lexicons.leet)
+    exact = alike.withColumn("rule", F.lit(LEET))
+    ranked = rank_candidates(candidates, dictionary, rules, fuzzy, exact, lexicons.leet)
     near = F.abs(F.length("word") - F.length("token")) <= 1
     usable = ranked.filter(
         F.when(F.col("rule") == TYPO, (F.col("place") <= cfg.typo_rank) & near).otherwise(F.col("place") == 1)

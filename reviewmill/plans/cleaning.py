@@ -10,7 +10,7 @@ from reviewmill.functions.symbols import convert_emojis, convert_emoticons, repa
 from reviewmill.functions.text import clean_structure, collapse_ws, remove_web_noise, tokens
 from reviewmill.operators.tokens import is_protected, joined_negations
 from reviewmill.operators.vocabulary import Lexicons, normalize_vocab, stem_tokens, token_counts
-from reviewmill.scale import materialize, salted_join
+from reviewmill.scale import hot_cold_join, materialize
 
 
 def structured_text(col: Column, lexicons: Lexicons) -> Column:
@@ -29,7 +29,8 @@ def decide_tokens(
     word = F.col("normalized")
     distinct = decided.select(word.alias("token")).distinct()
     stems = stem_tokens(distinct, lexicons.roots, lexicons.dictionary, lexicons.exclusions, lexicons.affixes)
-    stops = lexicons.stopwords.select(F.col(lexicons.stopwords.columns[0]).alias("token")).distinct()
+    stops = lexicons.stopwords.select(F.lower(F.col(lexicons.stopwords.columns[0])).alias("token")).distinct()
+    stops = stops.filter(~F.col("token").isin(*lexicons.negations, *lexicons.kept_words))
     facts = stems.join(stops.withColumn("stop", F.lit(True)), "token", "left").select(
         F.col("token").alias("normalized"), "stem", F.coalesce("stop", F.lit(False)).alias("stop")
     )
@@ -59,7 +60,7 @@ def clean_text(
     occurrences = listed.select("id", F.posexplode("tokens").alias("pos", "token"))
     counts = materialize(token_counts(occurrences))
     decisions = materialize(decide_tokens(counts, lexicons, cfg, fuzzy).filter("kept").drop("kept", "source"))
-    joined = salted_join(occurrences, decisions, "token", "id", counts)
+    joined = hot_cold_join(occurrences, decisions, "token", counts)
     items = F.sort_array(
         F.collect_list(F.struct("pos", F.col("normalized").alias("token"), "stem", "is_negation", "is_exclusion"))
     )

@@ -100,12 +100,12 @@ def runs_to(x: str, n: int) -> str:
 
 HAS_RUN = "(" + "|".join(f"{c}{c}{c}" for c in string.ascii_lowercase) + ")"
 _LEET_CASES = " ".join(
-    f"WHEN '{d}' THEN [{', '.join(_quoted(o) for o in (d, *letters))}]" for d, letters in config.LEET.items()
+    f"WHEN '{d}' THEN [{', '.join(_quoted(o) for o in letters)}]" for d, letters in config.LEET.items()
 )
 READINGS = (
     "list_distinct(list_reduce(list_prepend([''], list_transform(string_split(token, ''), "
-    f"lambda c: CASE c {_LEET_CASES} ELSE [c] END)), lambda acc, opts: list_slice(list_sort(flatten(list_transform("
-    f"acc, lambda p: list_transform(opts, lambda o: p || o)))), 1, {CFG.max_leet_candidates})))"
+    f"lambda c: CASE c {_LEET_CASES} ELSE [c] END)), lambda acc, opts: flatten(list_transform("
+    f"acc, lambda p: list_transform(opts, lambda o: p || o)))))"
 )
 
 
@@ -147,7 +147,7 @@ def _choices(found: str) -> str:
     """Rank candidates per token and rule, as the normaliser does."""
     return f"""
         SELECT token, rule, word, row_number() OVER (
-            PARTITION BY token, rule ORDER BY score DESC, length(candidate), candidate, length(word), word) AS place
+            PARTITION BY token, rule ORDER BY score DESC, length(candidate), length(word), word) AS place
         FROM ({found})"""
 
 
@@ -160,6 +160,7 @@ CTES = {
     "dict": """SELECT token AS word FROM dfreq
         WHERE regexp_full_match(token, '[a-z]{4,}') AND df * 50 >= (SELECT count(*) FROM documents)""",
     "stops": "SELECT token AS word FROM dfreq WHERE df * 2 > (SELECT count(*) FROM documents)",
+    "effective_stops": f"SELECT word FROM stops WHERE word NOT IN {_list((*Q.NEGATIONS, *config.ADDITIONAL_WORDS))}",
     "slang": f"SELECT * FROM (VALUES {_values(Q.SLANG)}) v(token, target)",
     "looked": f"""SELECT v.token, CASE WHEN {PROTECTED.replace('token', 'v.token')} THEN 'protected'
             WHEN s.target IS NOT NULL THEN 'slang' WHEN d.word IS NOT NULL THEN 'dictionary' END AS source,
@@ -220,7 +221,7 @@ def _cleaning(kind: str) -> dict[str, str]:
             SELECT doc_id AS id, regexp_extract_all({clean_structure(collapse_ws(strip_markup('text')))}, '[a-z0-9_]+') AS t FROM documents)""",
         f"kept{kind}": f"""SELECT t.id, t.pos, d.normalized AS token, s.stem FROM struct{kind} t JOIN {d} d ON t.token = d.token
             JOIN stems{kind} s ON d.normalized = s.token
-            WHERE {excluded('d.normalized')} OR (length(d.normalized) >= 2 AND d.normalized NOT IN (SELECT word FROM stops))""",
+            WHERE {excluded('d.normalized')} OR (length(d.normalized) >= 2 AND d.normalized NOT IN (SELECT word FROM effective_stops))""",
         f"near{kind}": f"""SELECT *, lead(token) OVER w AS nxt, lag(token) OVER w AS prv FROM kept{kind}
             WINDOW w AS (PARTITION BY id ORDER BY pos)""",
         f"merged{kind}": f"""SELECT id, pos, CASE WHEN {_joins('token', 'nxt')} THEN token || '_' || nxt
@@ -274,6 +275,13 @@ def _model(prefix: str, docs: str, train: str, score: str) -> dict[str, str]:
     }
 
 
+def _all_grams(source: str) -> str:
+    return f"""SELECT id, term, count(*) AS tf FROM (
+        SELECT id, unnest(w) AS term FROM {source} UNION ALL
+        SELECT id, unnest(list_transform(list_zip(w[1:len(w) - 1], w[2:]), lambda z: z[1] || ' ' || z[2])) FROM {source} WHERE len(w) >= 2)
+        GROUP BY id, term"""
+
+
 def _split(prefix: str, source: str) -> dict[str, str]:
     p = prefix
     return {
@@ -440,9 +448,9 @@ _RAW_LABELS = "SELECT doc_id, coalesce(' ' || quality::varchar || chr(9), lang)
 _LABEL_TRIM = f"regexp_replace(label, {_quoted(f'^[{WS}]+|[{WS}]+$')}, '', 'g')"
 
 ORACLES: dict[str, str] = {
-    "read_reviews": "SELECT text, quality::varchar AS sentiment, lang FROM labelled",
+    "read_reviews": "SELECT text, coalesce(quality, -1)::varchar AS sentiment, lang FROM reviews",
     "union_datasets": "SELECT doc_id, lang, text FROM documents UNION ALL BY NAME SELECT conv_id, role, text FROM conversations",
-    "write_predictions": f"SELECT doc_id, text, {display('quality::varchar')} AS sentimen, 'Berhasil' AS status FROM labelled",
+    "write_predictions": f"SELECT doc_id, text, {display('quality::varchar')} AS sentimen, 'Berhasil' AS status FROM reviews",
     "save_model": "SELECT label, round(log_prior, 6) AS log_prior FROM m_priors",
     "load_model": "SELECT label, term, round(log_prob, 6) AS log_prob FROM m_theta",
     "fingerprint": "SELECT doc_id::varchar AS name, sha256(text) AS sha FROM documents",
@@ -493,8 +501,12 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'kind', count(*) > 0 FROM conversations""",
     "non_empty_check": "SELECT doc_id AS file FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "required_columns_check": "SELECT DISTINCT source AS file, unnest(['sentiment', 'row_id']) AS missing_column FROM documents",
-    "blank_entry_check": f"""SELECT doc_id AS row_id, count(*) AS n_entries, count(*) FILTER ({is_blank('text')}) AS n_blank FROM lines
-        GROUP BY doc_id HAVING count(*) FILTER ({is_blank('text')}) > 0""",
+    "blank_entry_check": f"""SELECT doc_id AS row_id, count(*) AS n_entries, count(*) FILTER ({is_blank('s')}) AS n_blank, 'list' AS kind
+        FROM (SELECT doc_id, unnest(string_split(replace(text, chr(10), ' '), '.')) AS s FROM documents)
+        GROUP BY doc_id HAVING count(*) FILTER ({is_blank('s')}) > 0
+        UNION ALL SELECT doc_id, count(*), count(*) FILTER ({is_blank('v')}), 'map' AS kind
+        FROM (SELECT doc_id, substr(text, strpos(text || ' ', ' ') + 1) AS v FROM lines)
+        GROUP BY doc_id HAVING count(*) FILTER ({is_blank('v')}) > 0""",
     "text_marker_check": f"SELECT doc_id AS row_id, marker FROM documents, (SELECT unnest({list(Q.MARKERS)}) AS marker) WHERE contains(text, marker)",
     "display_label": f"""SELECT doc_id, {display('quality::double::varchar')} AS shown, {display('coalesce(quality::varchar, lang)')} AS own_text,
         {display('quality::varchar', "'Unknown'")} AS known FROM reviews""",
@@ -523,7 +535,12 @@ ORACLES: dict[str, str] = {
     "dictionary_lookup": "SELECT token, token AS normalized, 'dictionary' AS source FROM dfreq SEMI JOIN dict ON token = word",
     "repeat_candidates": f"""SELECT DISTINCT token, unnest([token, {runs_to('token', 1)}, {runs_to('token', 2)}]) AS candidate
         FROM dfreq WHERE regexp_matches(token, {_quoted(HAS_RUN)})""",
-    "leet_candidates": f"SELECT token, unnest({READINGS}) AS candidate FROM dfreq WHERE regexp_matches(token, '[0-9]') AND regexp_matches(token, '[a-z]')",
+    "leet_candidates": f"""SELECT DISTINCT token, candidate FROM (
+        SELECT token, unnest([r, {runs_to('r', 1)}, {runs_to('r', 2)}]) AS candidate FROM (
+            SELECT token, unnest({READINGS}) AS r FROM (
+                SELECT token FROM dfreq UNION SELECT translate(token, '{Q.DISGUISE}', '011435678') FROM dfreq)
+            WHERE regexp_matches(token, '[0-9]') AND regexp_matches(token, '[a-z]')))
+        JOIN dict ON candidate = word""",
     "dictionary_block": f"""SELECT v.token, count(d.word) AS n_words FROM dfreq v LEFT JOIN dict d ON v.token[1] = d.word[1]
         AND abs(length(v.token) - length(d.word)) <= greatest(1, floor(length(v.token) * {CFG.typo_length_ratio})::int) GROUP BY v.token""",
     "fuzzy_score": f"SELECT token, word, round(score, 6) AS score FROM ({similar('dfreq', CFG.typo_length_ratio, CFG.typo_threshold, True)})",
@@ -547,8 +564,8 @@ ORACLES: dict[str, str] = {
         FROM dfreq JOIN decided USING (token)""",
     "count_tokens": f"SELECT count(*) AS total, count(DISTINCT t) AS \"unique\" FROM (SELECT unnest(regexp_extract_all(text, {_quoted(f'[^{WS}]+')})) AS t FROM documents)",
     "stratified_split": "SELECT doc_id, quality, is_test FROM split",
-    "vectorizer_tokens": "SELECT id, unnest(range(len(w))) AS pos, unnest(w) AS token FROM m_train",
-    "ngrams_1_2": "SELECT id, term, tf AS n FROM m_counts",
+    "vectorizer_tokens": "SELECT id, unnest(range(len(w))) AS pos, unnest(w) AS token FROM s_score",
+    "ngrams_1_2": f"SELECT id, term, tf AS n FROM ({_all_grams('s_score')})",
     "document_frequency": "SELECT term, df FROM m_vocab",
     "tf": "SELECT id, term, tf FROM m_raw",
     "idf_smooth": "SELECT term, df, round(idf, 6) AS idf FROM m_vocab",

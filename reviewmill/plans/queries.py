@@ -32,6 +32,8 @@ EMOTICONS = {
 EMOJI_FOR = {"the": "😍", "nicht": "😡", "pour": "❤️", "with": "🐱", "und": "🚀"}
 EMOJIS = {"😍": "positif", "😡": "negatif", "❤": "positif"}
 EMOJI_NAMES = {"🐱": "cat-face"}
+# Letters that a disguise writes as look-alike digits.
+DISGUISE = "oilaesgtb"
 MARKERS = (*config.WORK_MARKERS, "License", "http", "@")
 CFG = ReviewConfig(label="quality", row_id="doc_id")
 
@@ -112,14 +114,10 @@ def _per_text(function: Callable[[Column], Column], table: str, key: str, column
 # Sources -----------------------------------------------------------------
 
 
-def scan_files(spark, folder):
-    return reviews.scan_files(spark, folder, r"^[a-z]+\.parquet$").select("file", "size")
-
-
 def _write_review_files(spark, folder) -> list[str]:
-    """The labelled documents as two CSV data sets, split by language."""
+    """All documents as two CSV data sets, split by language; -1 where there is no label."""
     root = scratch_path(spark, "reviews")
-    rows = _labelled(spark, folder).select("text", F.col("quality").alias("sentiment"), "lang")
+    rows = _reviews(spark, folder).select("text", F.coalesce("quality", F.lit(-1)).alias("sentiment"), "lang")
     paths = [f"{root}/data1.csv", f"{root}/data2.csv"]
     for path, part in zip(paths, (F.col("lang") == "en", F.col("lang") != "en"), strict=True):
         reviews.write_predictions(rows.filter(part), path)
@@ -137,7 +135,7 @@ def union_datasets(spark, folder):
 
 def write_predictions(spark, folder):
     path = scratch_path(spark, "predictions")
-    scored = _labelled(spark, folder).select(
+    scored = _reviews(spark, folder).select(
         "doc_id", "text", labels.display_label(F.col("quality")).alias("sentimen"), labels.prediction_status(F.col("text")).alias("status")
     )
     reviews.write_predictions(scored, path)
@@ -163,10 +161,6 @@ def fingerprint(spark, folder):
     return models.row_fingerprints(_documents(spark, folder), "doc_id", "text")
 
 
-def file_fingerprint(spark, folder):
-    return models.file_fingerprints(spark, folder, r"^[a-z]+\.parquet$")
-
-
 def table_fingerprint(spark, folder):
     return models.table_fingerprint(_documents(spark, folder).select("doc_id", "text", "lang"), "documents")
 
@@ -311,8 +305,15 @@ def required_columns_check(spark, folder):
 
 
 def blank_entry_check(spark, folder):
-    rows = _documents(spark, folder).select("doc_id", F.split("text", "\n").alias("items"))
-    return quality.blank_entry_check(rows, "doc_id", "items")
+    """Every sentence of a document: what follows the last stop is blank. Maps from the first word of a line to the rest."""
+    items = F.split(F.regexp_replace("text", r"\n", " "), r"\.")
+    rows = _documents(spark, folder).select("doc_id", items.alias("items"))
+    lines = _lines(spark, folder).select("doc_id", "line_no", F.substring_index("text", " ", 1).alias("k"), F.expr("substr(text, length(substring_index(text, ' ', 1)) + 2)").alias("v"))
+    maps = lines.groupBy("doc_id").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "line_no", "k").alias("k"), "v"))).alias("entries")
+    )
+    lists = quality.blank_entry_check(rows, "doc_id", "items").withColumn("kind", F.lit("list"))
+    return lists.unionByName(quality.blank_entry_check(maps, "doc_id", "entries").withColumn("kind", F.lit("map")))
 
 
 def text_marker_check(spark, folder):
@@ -398,9 +399,11 @@ def repeat_candidates(spark, folder):
 
 
 def leet_candidates(spark, folder):
-    counts, _ = _vocabulary(spark, folder)
-    mixed = F.col("token").rlike("[0-9]") & F.col("token").rlike("[a-z]")
-    return counts.filter(mixed).select("token", F.explode(F.array_distinct(candidates.leet_candidates(F.col("token")))).alias("candidate"))
+    """The dictionary words that tokens spell with look-alikes; every token also as a disguise of itself."""
+    counts, lexicon = _vocabulary(spark, folder)
+    disguised = counts.select(F.translate("token", DISGUISE, "011435678").alias("token"))
+    words = counts.select("token").union(disguised).filter(vocabulary.has_symbols(F.col("token"))).distinct()
+    return fuzzy.lookalike_matches(words, lexicon.dictionary).select("token", F.col("word").alias("candidate"))
 
 
 def dictionary_block(spark, folder):
@@ -472,7 +475,7 @@ def count_tokens(spark, folder):
 
 def _vocab_idf(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Term counts and the weighted vocabulary of structured texts."""
-    counts = features.term_counts(rows, "doc_id", "text", keep=("quality",))
+    counts = materialize(features.term_counts(rows, "doc_id", "text", keep=("quality",)))
     n_docs = rows.count()
     return counts, materialize(features.idf_smooth(features.document_frequency(counts, n_docs), n_docs))
 
@@ -482,12 +485,12 @@ def stratified_split(spark, folder):
 
 
 def vectorizer_tokens(spark, folder):
-    table = features.vectorizer_tokens(_structured(spark, folder), "doc_id", "text")
+    table = features.vectorizer_tokens(_all_structured(spark, folder), "doc_id", "text")
     return table.select("id", F.col("pos").cast("bigint").alias("pos"), "token")
 
 
 def ngrams_1_2(spark, folder):
-    grams = features.ngrams_1_2(_structured(spark, folder), "doc_id", "text")
+    grams = features.ngrams_1_2(_all_structured(spark, folder), "doc_id", "text")
     return grams.groupBy("id", "term").agg(F.count("*").alias("n"))
 
 
@@ -655,8 +658,8 @@ def dataset_info(spark, folder):
 
 def chart_top_words(spark, folder):
     _, lexicon = _vocabulary(spark, folder)
-    kept = tokens.filter_tokens(tokens.tokenize(_documents(spark, folder), "doc_id", "text"), lexicon.stopwords)
-    return charts.chart_top_words(kept, CFG.top_words)
+    words = tokens.tokenize(_documents(spark, folder), "doc_id", "text")
+    return charts.chart_top_words(words, CFG.top_words, stopwords=lexicon.stopwords)
 
 
 def chart_confusion(spark, folder):
@@ -672,8 +675,8 @@ _TEXT_COLUMNS = ("text", "lang", "source", "quality")
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        scan_files, read_reviews, union_datasets, write_predictions, save_model, load_model, fingerprint,
-        file_fingerprint, table_fingerprint, compatibility_check, model_metadata, read_lexicons, build_dictionary,
+        read_reviews, union_datasets, write_predictions, save_model, load_model, fingerprint,
+        table_fingerprint, compatibility_check, model_metadata, read_lexicons, build_dictionary,
         build_stopwords, score_emojis,
         drop_missing_required, normalize_labels, label_violations, label_distribution_raw, conflict_texts,
         conflict_audit, resolve_conflicts, drop_exact_duplicates, file_report, file_label_counts, strict_validation,

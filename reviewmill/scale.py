@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 # A key is hot when it holds more than this share of all rows, so at most
 # 1 / HOT_SHARE keys can be hot whatever the size of the data.
 HOT_SHARE = 0.001
-SALTS = 64
+#: Session setting: how many tasks ``spread`` deals a scan out to.
+SCAN_PARTITIONS = "reviewmill.scan.partitions"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -55,9 +56,13 @@ def deal(df: DataFrame, key: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out a plain scan that has fewer splits than there are task slots, such as one small file."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    """Deal a scan out over ``SCAN_PARTITIONS`` tasks, if the session sets that.
+
+    For tables in fewer files than there are task slots, as in tests and on one
+    machine. By default a scan keeps the splits of its files.
+    """
+    n = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
 
 
 def digest(*columns: str | Column) -> Column:
@@ -70,40 +75,20 @@ def digest(*columns: str | Column) -> Column:
     return F.unhex(F.sha2(F.concat(*tagged), 256))
 
 
-def hot_keys(counts: DataFrame, key: str, n: str = "n") -> DataFrame:
-    """Hashes of the keys above ``HOT_SHARE``; at most 1 / HOT_SHARE rows of 8 bytes."""
-    total = counts.agg(F.sum(n)).scalar()
-    return counts.filter(F.col(n) > F.lit(HOT_SHARE) * total).select(F.xxhash64(key).alias("_hot"))
-
-
-def salted_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    key: str,
-    spread_by: str,
-    counts: DataFrame,
-    n: str = "n",
-    how: str = "inner",
-) -> DataFrame:
-    """Join ``facts`` to ``dim`` (one row per key), splitting hot keys over ``SALTS`` tasks.
-
-    ``counts`` gives the rows per key. Hot rows of ``dim`` are copied once per
-    salt and hot rows of ``facts`` pick a salt from ``spread_by``; all other
-    rows use salt 0, so the result is the plain join.
+def hot_cold_join(facts: DataFrame, dim: DataFrame, key: str, counts: DataFrame, n: str = "n") -> DataFrame:
+    """Inner join of ``facts`` to ``dim`` (one row per key) in which hot keys aren't moved.
+
+    ``counts`` gives the rows of ``facts`` per key. Keys above ``HOT_SHARE`` of
+    all rows, at most 1 / HOT_SHARE of them, are joined where their rows lie;
+    only the rows of other keys are shuffled, so the largest key in a shuffle
+    has ``HOT_SHARE`` of the rows. ``facts`` is read twice: hand over a stored
+    table or a cheap expression of one.
     """
-    hot = F.broadcast(hot_keys(counts, key, n))  # bounded: at most 1 / HOT_SHARE hashes
-    left = facts.join(hot, F.xxhash64(key) == F.col("_hot"), "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(spread_by), F.lit(SALTS))).otherwise(F.lit(0).cast("long")),
-    ).drop("_hot")
-    right = dim.join(hot, F.xxhash64(key) == F.col("_hot"), "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-            .otherwise(F.array(F.lit(0).cast("long")))
-        ),
-    ).drop("_hot")
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    total = counts.agg(F.sum(n)).scalar()
+    hot = F.broadcast(counts.filter(F.col(n) > F.lit(HOT_SHARE) * total).select(key))  # at most 1 / HOT_SHARE rows
+    near = facts.join(F.broadcast(dim.join(hot, key, "left_semi")), key)
+    far = facts.join(hot, key, "left_anti").join(dim, key)
+    return near.unionByName(far)
 
 
 def small_rows(df: DataFrame, limit: int, what: str) -> list:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from reviewmill.scale import SCAN_PARTITIONS
+
 
 def local_session(cpus: int = 8, partitions: int | None = None, memory: str = "12g") -> SparkSession:
     session = (
@@ -18,4 +20,5 @@ def local_session(cpus: int = 8, partitions: int | None = None, memory: str = "1
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set(SCAN_PARTITIONS, str(cpus))
     return session
