@@ -10,11 +10,23 @@ from pyspark.sql import functions as F
 from reviewmill import config
 from reviewmill.functions.text import safe_text_token
 
-# Code points shown as emoji, as a regex class body.
-EMOJI_CLASS = (
-    r"\x{1f000}-\x{1f1e5}\x{1f200}-\x{1f3fa}\x{1f400}-\x{1faff}\x{2600}-\x{27bf}"
-    r"\x{2b05}-\x{2b07}\x{2b1b}\x{2b1c}\x{2b50}\x{2b55}\x{231a}\x{231b}\x{23e9}-\x{23f3}"
-    r"\x{23f8}-\x{23fa}\x{2194}-\x{2199}\x{203c}\x{2049}\x{3030}\x{303d}\x{3297}\x{3299}"
+# The code points with Unicode's property Emoji beyond ASCII, without
+# the letters of flags.
+EMOJI_RANGES = """
+a9 ae 203c 2049 2122 2139 2194-2199 21a9-21aa 231a-231b 2328 23cf 23e9-23f3 23f8-23fa 24c2 25aa-25ab 25b6 25c0
+25fb-25fe 2600-2604 260e 2611 2614-2615 2618 261d 2620 2622-2623 2626 262a 262e-262f 2638-263a 2640 2642 2648-2653
+265f-2660 2663 2665-2666 2668 267b 267e-267f 2692-2697 2699 269b-269c 26a0-26a1 26a7 26aa-26ab 26b0-26b1 26bd-26be
+26c4-26c5 26c8 26ce-26cf 26d1 26d3-26d4 26e9-26ea 26f0-26f5 26f7-26fa 26fd 2702 2705 2708-270d 270f 2712 2714 2716
+271d 2721 2728 2733-2734 2744 2747 274c 274e 2753-2755 2757 2763-2764 2795-2797 27a1 27b0 27bf 2934-2935 2b05-2b07
+2b1b-2b1c 2b50 2b55 3030 303d 3297 3299 1f004 1f0cf 1f170-1f171 1f17e-1f17f 1f18e 1f191-1f19a 1f201-1f202 1f21a
+1f22f 1f232-1f23a 1f250-1f251 1f300-1f321 1f324-1f393 1f396-1f397 1f399-1f39b 1f39e-1f3f0 1f3f3-1f3f5 1f3f7-1f4fd
+1f4ff-1f53d 1f549-1f54e 1f550-1f567 1f56f-1f570 1f573-1f57a 1f587 1f58a-1f58d 1f590 1f595-1f596 1f5a4-1f5a5 1f5a8
+1f5b1-1f5b2 1f5bc 1f5c2-1f5c4 1f5d1-1f5d3 1f5dc-1f5de 1f5e1 1f5e3 1f5e8 1f5ef 1f5f3 1f5fa-1f64f 1f680-1f6c5
+1f6cb-1f6d2 1f6d5-1f6d7 1f6dc-1f6e5 1f6e9 1f6eb-1f6ec 1f6f0 1f6f3-1f6fc 1f7e0-1f7eb 1f7f0 1f90c-1f93a 1f93c-1f945
+1f947-1f9ff 1fa70-1fa7c 1fa80-1fa89 1fa8f-1fac6 1face-1fadc 1fadf-1fae9 1faf0-1faf8
+"""
+EMOJI_CLASS = "".join(
+    "-".join(rf"\x{{{point}}}" for point in part.split("-")) for part in EMOJI_RANGES.split()
 )
 VARIATION_SELECTOR = r"[\x{fe00}-\x{fe0f}]"
 _MODIFIER = r"[\x{1f3fb}-\x{1f3ff}]"
@@ -26,11 +38,11 @@ EMOJI = (
     rf"|{_ONE}(?:\x{{200d}}{_ONE})*"
 )
 
-# Every emoji holds a character from here on, which is quicker to rule out.
-EMOJI_HINT = r"[\x{2000}-\x{10ffff}]"
+# Every emoji holds one of these characters, which is quicker to rule out.
+EMOJI_HINT = r"[\x{a9}\x{ae}\x{2000}-\x{10ffff}]"
 # Lead bytes of UTF-8 emoji, as Latin-1 and code page 1252 both show them. A text
 # without them gains no emoji by decoding, and the text itself wins ties.
-MOJIBAKE_HINT = r"[\x{e2}\x{e3}\x{f0}]"
+MOJIBAKE_HINT = r"[\x{c2}\x{e2}\x{e3}\x{f0}]"
 
 # Characters code page 1252 puts at bytes 0x80 to 0x9f.
 CP1252_BYTES = {
@@ -101,12 +113,17 @@ def _hinted(keys: Iterable[str]) -> bool:
 
 
 def emoji_pattern(keys: Iterable[str]) -> str:
+    """Whole emoji sequences first, then given keys that are none, the longest first."""
     known = alternation(keys)
-    return f"{known}|{EMOJI}" if known else EMOJI
+    return f"{EMOJI}|{known}" if known else EMOJI
 
 
 def convert_emojis(col: Column, emojis: Mapping[str, str], names: Mapping[str, str] | None = None) -> Column:
-    """Emoji to their token, else their name, else the unknown token."""
+    """Emoji to their token, else their name, else the unknown token.
+
+    The longest sequence at a place is one emoji; it is looked up as it is, then
+    without variation selectors.
+    """
     names = names or {}
     empty = F.create_map().cast("map<string,string>")
     tokens = _map_literal(emojis) if emojis else empty

@@ -39,7 +39,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     quota is reached is ranked, which gives one exact cut-off hash per class. So
     a class with most of the rows is never sorted in one task.
     """
-    rows = df.select(F.col(label).alias("label"), F.col(key).alias("key"), split_hash(key, seed).alias("hash"))
+    rows = materialize(df.select(F.col(label).alias("label"), F.col(key).alias("key"), split_hash(key, seed).alias("hash")))
     rows = rows.withColumn("bucket", F.substring("hash", 1, _BUCKET_DIGITS))
     buckets = rows.groupBy("label", "bucket").agg(F.count("*").alias("n"))
     quotas = F.broadcast(split_quotas(buckets.groupBy("label").agg(F.sum("n").alias("n")), test_size))

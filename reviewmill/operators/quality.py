@@ -131,25 +131,33 @@ def drop_exact_duplicates(df: DataFrame, text: str, label: str, row_id: str) ->
     return df.join(first, row_id, "left_semi")
 
 
-def file_report(df: DataFrame, file: str, label: str, text: str) -> DataFrame:
-    """One row per input file: size, column presence, missing labels, issues, status."""
-    has_text, has_label = text in df.columns, label in df.columns
-    issues = [f"missing column {c}" for c, there in ((text, has_text), (label, has_label)) if not there]
-    missing = F.count_if(F.col(label).isNull()) if has_label else F.lit(None).cast("bigint")
-    return (
-        df.groupBy(F.col(file).alias("file"))
-        .agg(F.count("*").alias("n_rows"), missing.alias("n_missing"))
-        .select(
-            "file",
-            "n_rows",
-            F.lit(len([c for c in df.columns if c != file])).cast("bigint").alias("n_columns"),
-            F.lit(has_text).alias("has_text"),
-            F.lit(has_label).alias("has_label"),
-            "n_missing",
-            (F.col("n_missing") > 0).alias("has_missing"),
-            F.lit("; ".join(issues)).alias("issues"),
-            F.lit("problem" if issues else "valid").alias("status"),
-        )
+def file_report(df: DataFrame, file: str, label: str, text: str, columns: DataFrame) -> DataFrame:
+    """One row per input file: size, its own columns, missing labels, issues, status.
+
+    ``columns`` has a row (file, column) for each column of each file's header.
+    """
+    own = columns.groupBy("file").agg(
+        F.count_distinct("column").alias("n_columns"),
+        F.max(F.col("column") == text).alias("has_text"),
+        F.max(F.col("column") == label).alias("has_label"),
+    )
+    missing = F.count_if(F.col(label).isNull()) if label in df.columns else F.lit(None).cast("bigint")
+    rows = df.groupBy(F.col(file).alias("file")).agg(F.count("*").alias("n_rows"), missing.alias("n_missing"))
+    issues = F.array_compact(
+        F.array(*[F.when(~F.col(has), F.lit(f"missing column {c}")) for has, c in (("has_text", text), ("has_label", label))])
+    )
+    joined = own.join(rows, "file", "full_outer").select(
+        "file",
+        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        F.coalesce("n_columns", F.lit(0)).alias("n_columns"),
+        *[F.coalesce(c, F.lit(False)).alias(c) for c in ("has_text", "has_label")],
+        F.when(F.col("has_label"), F.coalesce("n_missing", F.lit(0))).alias("n_missing"),
+    )
+    return joined.select(
+        "*",
+        (F.col("n_missing") > 0).alias("has_missing"),
+        F.array_join(issues, "; ").alias("issues"),
+        F.when(F.size(issues) > 0, "problem").otherwise("valid").alias("status"),
     )
 
 
@@ -195,6 +203,13 @@ def strict_validation(df: DataFrame, text: str, label: str) -> DataFrame:
     ).select("r.*")
 
 
+def require_valid(df: DataFrame, text: str, label: str) -> None:
+    """Raise with every failure that ``strict_validation`` finds; warnings pass."""
+    bad = strict_validation(df, text, label).filter("severity = 'failure' AND n > 0").collect()  # four rows at most
+    if bad:
+        raise ValueError("; ".join(f"{r['n']} {r['check']} values in {r['column']}" for r in bad))
+
+
 def column_unique_check(df: DataFrame, key: str) -> DataFrame:
     """Blank and repeated values of a key column."""
     value = F.coalesce(strip_ws(F.col(key).cast("string")), F.lit(""))
@@ -228,11 +243,11 @@ def non_empty_check(df: DataFrame, file: str, expected: DataFrame) -> DataFrame:
     return expected.select(F.col(expected.columns[0]).alias("file")).distinct().join(present, "file", "left_anti")
 
 
-def required_columns_check(df: DataFrame, columns: Sequence[str], file: str) -> DataFrame:
-    """Each file with each required column it lacks."""
-    missing = [c for c in columns if c not in df.columns]
-    names = F.array(*[F.lit(c) for c in missing]).cast(T.ArrayType(T.StringType()))
-    return df.select(F.col(file).alias("file")).distinct().select("file", F.explode(names).alias("missing_column"))
+def required_columns_check(columns: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Each file with each required column its header lacks; ``columns`` has rows (file, column)."""
+    there = columns.groupBy("file").agg(F.collect_set(F.when(F.col("column").isin(*required), F.col("column"))).alias("there"))
+    needed = F.array(*[F.lit(c) for c in required])
+    return there.select("file", F.explode(F.array_except(needed, "there")).alias("missing_column"))
 
 
 def blank_entry_check(df: DataFrame, row_id: str, column: str) -> DataFrame:

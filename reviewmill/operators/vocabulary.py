@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from reviewmill.functions.candidates import REPEATED, reading_candidates, repeat
 from reviewmill.operators.fuzzy import lookalike_matches, rank_candidates
 from reviewmill.operators.tokens import is_protected
 from reviewmill.scale import deal
+from reviewmill.sources.models import table_fingerprint
 
 # Prefixes and suffixes a form may lose, longest first.
 AFFIXES = (r"^(meng|mem|men|me|ber|ter|di|ke|se|pe)", r"(nya|kan|an|i|lah|kah|ku|mu)$")
@@ -37,6 +39,16 @@ class Lexicons:
     affixes: Sequence[str] = AFFIXES
 
 
+def resource_fingerprints(lexicons: Lexicons, cfg: ReviewConfig = ReviewConfig()) -> DataFrame:
+    """(name, sha) of everything that decides how texts are cleaned and terms are weighed."""
+    tables = {f.name: getattr(lexicons, f.name) for f in fields(lexicons) if isinstance(getattr(lexicons, f.name), DataFrame)}
+    small = {f.name: repr(getattr(lexicons, f.name)) for f in fields(lexicons) if f.name not in tables}
+    spark = lexicons.dictionary.sparkSession
+    settings = spark.createDataFrame([(f"{k}={v}",) for k, v in sorted({**small, "config": repr(cfg)}.items())], "setting string")
+    parts = [table_fingerprint(t, name) for name, t in sorted(tables.items())]
+    return reduce(DataFrame.unionByName, [*parts, table_fingerprint(settings, "settings")])
+
+
 def token_counts(token_table: DataFrame) -> DataFrame:
     """(token, n), combined on the map side."""
     return token_table.filter("token IS NOT NULL").groupBy("token").agg(F.count("*").alias("n"))

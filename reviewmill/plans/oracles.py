@@ -6,7 +6,7 @@ import re
 import string
 
 from reviewmill import config
-from reviewmill.functions.symbols import CP1252_BYTES, EMOJI, alternation, emoji_pattern
+from reviewmill.functions.symbols import CP1252_BYTES
 from reviewmill.functions.text import HASHTAG, HTML_TAG, MENTION, UNSAFE, URL, WS
 from reviewmill.plans import queries as Q
 
@@ -415,10 +415,26 @@ def _length_stats(expr: str) -> str:
 
 
 _EMOTICON_CASES = " ".join(f"WHEN {_quoted(k)} THEN {_quoted(v)}" for k, v in Q.EMOTICONS.items())
-_EMOJI_CASES = (
-    "CASE WHEN m = '😍' THEN 'positif' WHEN m = '😡' THEN 'negatif' WHEN m LIKE '❤%' THEN 'positif' "
-    "WHEN m = '🐱' THEN 'cat_face' ELSE 'deskripsi_emoji' END"
-)
+# What each symbol put into the texts becomes, by hand; ★ and ✓ are no emoji.
+_EMOJI_TOKENS = {
+    "👩‍💻": "woman_technologist", "👍🏽": "deskripsi_emoji", "❤️": "positif", "😍": "positif", "😡": "negatif", "🐱": "cat_face",
+    "🚀": "deskripsi_emoji", "©": "deskripsi_emoji",
+}
+
+
+def _emoji_to_tokens(x: str) -> str:
+    for emoji, token in _EMOJI_TOKENS.items():
+        x = f"replace({x}, '{emoji}', ' {token} ')"
+    return x
+
+
+def _count_of(x: str, parts) -> str:
+    return " + ".join(f"(length({x}) - length(replace({x}, {_quoted(p)}, ''))) // length({_quoted(p)})" for p in parts)
+
+
+_BROKEN = "array_to_string(list_transform(string_split(t, ''), lambda c: {bytes}), '')"
+# Emoticons by hand, longest first, as one alternation.
+_EMOTICON_PATTERN = "|".join(re.escape(k) for k in sorted(Q.EMOTICONS, key=lambda k: (-len(k), k)))
 _EMOJI_TEXT = with_emoji("text")
 _CP = "".join(CP1252_BYTES.values())
 # A character's UTF-8 bytes, each read as one Latin-1 character.
@@ -490,8 +506,12 @@ ORACLES: dict[str, str] = {
         GROUP BY text) a USING (text) WHERE labels = 1 OR (modes = 1 AND source = best)""",
     "drop_exact_duplicates": """SELECT doc_id, source FROM (
         SELECT *, row_number() OVER (PARTITION BY text, lang ORDER BY doc_id) AS r FROM documents) WHERE r = 1""",
-    "file_report": """SELECT source AS file, count(*) AS n_rows, count(*) FILTER (quality IS NULL) AS n_missing, 6::bigint AS n_columns, true AS has_text,
-        true AS has_label, count(*) FILTER (quality IS NULL) > 0 AS has_missing, '' AS issues, 'valid' AS status FROM reviews GROUP BY source""",
+    "file_report": """SELECT CASE lang WHEN 'en' THEN 'data1.csv' WHEN 'fr' THEN 'data2.csv' ELSE 'data3.csv' END AS file, count(*) AS n_rows,
+        CASE min(lang) WHEN 'en' THEN 4 WHEN 'fr' THEN 3 ELSE 2 END::bigint AS n_columns, min(lang) IN ('en', 'fr') AS has_text, min(lang) <> 'fr' AS has_label,
+        CASE WHEN min(lang) <> 'fr' THEN count(*) FILTER (quality IS NULL) END AS n_missing,
+        CASE WHEN min(lang) <> 'fr' THEN count(*) FILTER (quality IS NULL) > 0 END AS has_missing,
+        CASE min(lang) WHEN 'en' THEN '' WHEN 'fr' THEN 'missing column sentiment' ELSE 'missing column text' END AS issues,
+        CASE min(lang) WHEN 'en' THEN 'valid' ELSE 'problem' END AS status FROM reviews GROUP BY 1""",
     "file_label_counts": "SELECT source AS file, quality AS label, count(*) AS n FROM reviews GROUP BY source, quality",
     "strict_validation": f'SELECT r."check" AS "check", r."column" AS "column", r.n AS n, r.severity AS severity FROM ({_CHECKS})',
     "column_unique_check": f"""SELECT CASE WHEN value = '' THEN 'blank' ELSE 'duplicate' END AS violation, value, count(*) AS n FROM (
@@ -500,7 +520,8 @@ ORACLES: dict[str, str] = {
     "not_constant_check": """SELECT 'lang' AS "column", count(*) > 0 AND bool_and(lang IS NOT DISTINCT FROM 'en') AS failed FROM documents
         UNION ALL SELECT 'kind', count(*) > 0 FROM conversations""",
     "non_empty_check": "SELECT doc_id AS file FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
-    "required_columns_check": "SELECT DISTINCT source AS file, unnest(['sentiment', 'row_id']) AS missing_column FROM documents",
+    "required_columns_check": """SELECT * FROM (VALUES ('data2.csv', 'sentiment'), ('data3.csv', 'text'), ('data3.csv', 'lang')) v(file, missing_column)
+        WHERE (SELECT count(DISTINCT CASE WHEN lang IN ('en', 'fr') THEN lang ELSE '' END) FROM documents) = 3""",
     "blank_entry_check": f"""SELECT doc_id AS row_id, count(*) AS n_entries, count(*) FILTER ({is_blank('s')}) AS n_blank, 'list' AS kind
         FROM (SELECT doc_id, unnest(string_split(replace(text, chr(10), ' '), '.')) AS s FROM documents)
         GROUP BY doc_id HAVING count(*) FILTER ({is_blank('s')}) > 0
@@ -517,17 +538,15 @@ ORACLES: dict[str, str] = {
     "unwrap_hashtags": _per_text(unwrap_hashtags, "pages", "page_id", "html"),
     "collapse_ws": _per_text(collapse_ws, "documents", "doc_id", "text"),
     "remove_web_noise": _per_text(lambda x: collapse_ws(strip_markup(x)), "pages", "page_id", "html"),
-    "convert_emoticons": _per_text(lambda x: weave(x, alternation(Q.EMOTICONS), f"CASE m {_EMOTICON_CASES} END"), "pages", "page_id", "html"),
+    "convert_emoticons": _per_text(lambda x: weave(x, _EMOTICON_PATTERN, f"CASE m {_EMOTICON_CASES} END"), "pages", "page_id", "html"),
     "emoji_description": _per_text(lambda x: f"CASE WHEN {safe_token(x)} = '' THEN 'deskripsi_emoji' ELSE {safe_token(x)} END", "documents", "doc_id", "text"),
     "clean_structure": _per_text(clean_structure, "pages", "page_id", "html"),
-    "repair_mojibake": f"""SELECT doc_id, CASE WHEN regexp_matches(t, {_quoted(EMOJI)}) THEN t
-        ELSE array_to_string(list_transform(string_split(t, ''), lambda c: {_BYTES}), '') END AS result
-        FROM (SELECT doc_id, {_EMOJI_TEXT} AS t FROM documents)""",
-    "convert_emojis": f"""SELECT doc_id, {weave('t', emoji_pattern([*Q.EMOJIS, *Q.EMOJI_NAMES]), _EMOJI_CASES)} AS result
-        FROM (SELECT doc_id, {_EMOJI_TEXT} AS t FROM documents)""",
+    "repair_mojibake": f"""SELECT doc_id, CASE WHEN {_count_of('t', _EMOJI_TOKENS)} > {_count_of('b', ('©', '®'))} THEN t ELSE b END AS result
+        FROM (SELECT doc_id, t, {_BROKEN.format(bytes=_BYTES)} AS b FROM (SELECT doc_id, {_EMOJI_TEXT} AS t FROM documents))""",
+    "convert_emojis": f"SELECT doc_id, {_emoji_to_tokens('t')} AS result FROM (SELECT doc_id, {_EMOJI_TEXT} AS t FROM documents)",
     "tokenize": "SELECT id, pos, token FROM tok",
-    "emoji_emoticon_counts": f"""SELECT sum(len(regexp_extract_all(t, {_quoted(emoji_pattern(Q.EMOJIS))})))::bigint AS n_emoji,
-        sum(len(regexp_extract_all(t, {_quoted(alternation(Q.EMOTICONS))})))::bigint AS n_emoticon FROM (SELECT {with_emoji('html')} AS t FROM pages)""",
+    "emoji_emoticon_counts": f"""SELECT sum({_count_of('t', _EMOJI_TOKENS)})::bigint AS n_emoji,
+        sum(len(regexp_extract_all(t, {_quoted(_EMOTICON_PATTERN)})))::bigint AS n_emoticon FROM (SELECT {with_emoji('html')} AS t FROM pages)""",
     "clean_text": "SELECT id, clean_text FROM cleaned_exact",
     "clean_text_fuzzy": "SELECT id, clean_text FROM cleaned",
     "protected_tokens": f"SELECT token, token AS normalized, 'protected' AS source FROM dfreq WHERE {PROTECTED}",

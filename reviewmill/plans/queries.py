@@ -29,9 +29,11 @@ EMOTICONS = {
     "d:": "netral", ";;": "negatif", "D:": "negatif", "oO": "netral", ":a": "netral", ";}": "positif",
 }
 # Words that stand in for emoji, so that texts without emoji exercise the conversion.
-EMOJI_FOR = {"the": "😍", "nicht": "😡", "pour": "❤️", "with": "🐱", "und": "🚀"}
-EMOJIS = {"😍": "positif", "😡": "negatif", "❤": "positif"}
-EMOJI_NAMES = {"🐱": "cat-face"}
+EMOJI_FOR = {
+    "the": "😍", "nicht": "😡", "pour": "❤️", "with": "🐱", "und": "🚀", "and": "★", "of": "©", "que": "👍🏽", "that": "👩‍💻", "les": "✓",
+}
+EMOJIS = {"😍": "positif", "😡": "negatif", "❤": "positif", "👍": "positif"}
+EMOJI_NAMES = {"🐱": "cat-face", "👩‍💻": "woman technologist"}
 # Letters that a disguise writes as look-alike digits.
 DISGUISE = "oilaesgtb"
 MARKERS = (*config.WORK_MARKERS, "License", "http", "@")
@@ -267,8 +269,24 @@ def drop_exact_duplicates(spark, folder):
     return quality.drop_exact_duplicates(_documents(spark, folder), "text", "lang", "doc_id").select("doc_id", "source")
 
 
+def _mixed_files(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """Three CSV data sets with columns of their own, read back: rows and (file, column)."""
+    root = scratch_path(spark, "mixed")
+    rows = _reviews(spark, folder).select("doc_id", "text", F.col("quality").alias("sentiment"), "lang")
+    parts = {
+        "data1.csv": rows.filter("lang = 'en'"),
+        "data2.csv": rows.filter("lang = 'fr'").drop("sentiment"),
+        "data3.csv": rows.filter("lang NOT IN ('en', 'fr')").drop("text", "lang"),
+    }
+    for name, part in parts.items():
+        reviews.write_predictions(part, f"{root}/{name}")
+    paths = [f"{root}/{name}" for name in parts]
+    return reviews.read_reviews(spark, paths, required=()), reviews.file_columns(reviews.file_headers(spark, paths))
+
+
 def file_report(spark, folder):
-    return quality.file_report(_reviews(spark, folder), "source", "quality", "text")
+    rows, columns = _mixed_files(spark, folder)
+    return quality.file_report(rows, "file", "sentiment", "text", columns)
 
 
 def file_label_counts(spark, folder):
@@ -301,7 +319,7 @@ def non_empty_check(spark, folder):
 
 
 def required_columns_check(spark, folder):
-    return quality.required_columns_check(_documents(spark, folder), ["text", "sentiment", "lang", "row_id"], "source")
+    return quality.required_columns_check(_mixed_files(spark, folder)[1], ["text", "sentiment", "lang", "doc_id"])
 
 
 def blank_entry_check(spark, folder):

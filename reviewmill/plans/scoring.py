@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from reviewmill.config import ReviewConfig
 from reviewmill.functions.labels import display_label, invalid_text_mask, prediction_status
 from reviewmill.operators.bayes import nb_predict
-from reviewmill.operators.vocabulary import Lexicons
+from reviewmill.operators.vocabulary import Lexicons, resource_fingerprints
 from reviewmill.plans.cleaning import clean_text
-from reviewmill.sources.models import Model
+from reviewmill.sources.models import Model, require_compatible
 
 
 def batch_score(
@@ -24,8 +24,11 @@ def batch_score(
 ) -> DataFrame:
     """Every input row and column plus ``sentimen``, ``tingkat_keyakinan`` and ``status``.
 
-    Blank texts keep null predictions. Cleaning is the one used for training.
+    Blank texts keep null predictions. Cleaning is the one used for training: a
+    model that knows what it was trained with refuses other settings and lexicons.
     """
+    if model.fingerprints is not None:
+        require_compatible(model.fingerprints, resource_fingerprints(lexicons, cfg))
     if text not in df.columns:
         raise ValueError(f"the required column {text} is missing")
     valid = df.filter(~invalid_text_mask(F.col(text)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,10 +12,10 @@ from reviewmill.operators import quality
 from reviewmill.operators.bayes import nb_predict, train_model
 from reviewmill.operators.evaluation import binary_metrics, classification_report, confusion_matrix
 from reviewmill.operators.features import stratified_split
-from reviewmill.operators.vocabulary import Lexicons
+from reviewmill.operators.vocabulary import Lexicons, resource_fingerprints
 from reviewmill.plans.cleaning import clean_text
 from reviewmill.scale import materialize
-from reviewmill.sources.models import Model
+from reviewmill.sources.models import Model, model_metadata, save_model, write_metadata
 
 
 @dataclass(frozen=True)
@@ -31,9 +31,11 @@ def prepare_reviews(reviews: DataFrame, cfg: ReviewConfig = ReviewConfig()) -> D
     """Rows fit for training; bad labels and conflicting labels are errors."""
     rows = quality.drop_missing_required(reviews, [cfg.text, cfg.label])
     quality.require_rows(rows, "the dataset without blank rows")
-    bad = quality.label_violations(rows, cfg.label, cfg.labels).limit(20).collect()
-    if bad:
-        raise ValueError(f"label problems: {[(r.problem, r.value, r.n) for r in bad]}")
+    bad = quality.label_violations(rows, cfg.label, cfg.labels)
+    values = bad.count()
+    if values:
+        first = [(r.problem, r.value, r.n) for r in bad.orderBy("problem", "value").limit(20).collect()]
+        raise ValueError(f"{values} label problems, the first are: {first}")
     rows = quality.normalize_labels(rows, cfg.label, cfg.labels)
     conflicts = quality.conflict_texts(rows, cfg.text, cfg.label).count()
     if conflicts:
@@ -71,13 +73,25 @@ def evaluate_model(tests: DataFrame, sizes: DataFrame, model: Model, cfg: Review
 
 
 def train_and_evaluate(
-    reviews: DataFrame, lexicons: Lexicons, cfg: ReviewConfig = ReviewConfig(), fuzzy: bool = True
+    reviews: DataFrame, lexicons: Lexicons, cfg: ReviewConfig = ReviewConfig(), fuzzy: bool = True, path: str | None = None
 ) -> tuple[Model, Evaluation]:
-    """The whole training run: check, split, clean, fit on the training rows, evaluate on the rest."""
-    rows = split_reviews(prepare_reviews(reviews, cfg), cfg)
+    """The whole training run: check, split, clean, fit on the training rows, evaluate on the rest.
+
+    Row ids and labels of the kept rows are written once and split; the texts
+    are joined back once. With a ``path`` the model is saved there, with the
+    record of its training.
+    """
+    kept = materialize(prepare_reviews(reviews, cfg).select(cfg.row_id, cfg.label))
+    rows = reviews.drop(cfg.label).join(split_reviews(kept, cfg), cfg.row_id)
     cleaned = clean_reviews(rows, lexicons, cfg, fuzzy)
     model = train_model(cleaned.filter(~F.col("is_test")), "id", "clean_text", cfg.label, cfg)
+    model = replace(model, fingerprints=materialize(resource_fingerprints(lexicons, cfg)))
     sizes = cleaned.agg(
         F.count_if(~F.col("is_test")).alias("train_size"), F.count_if("is_test").alias("test_size")
     )
-    return model, evaluate_model(cleaned.filter("is_test"), sizes, model, cfg)
+    result = evaluate_model(cleaned.filter("is_test"), sizes, model, cfg)
+    if path:
+        save_model(model, path)
+        record = model_metadata(cleaned, cfg.label, result.metrics, model.fingerprints, cfg.model_version)
+        write_metadata(record, f"{path}/metadata")
+    return model, result

@@ -17,11 +17,13 @@ class Model:
 
     ``terms``: (term, df, idf, log_probs ARRAY in label order) and
     ``priors``: (label, log_prior). The label list is small and fixed.
+    ``fingerprints``: (name, sha) of the settings and lexicons it was trained with.
     """
 
     terms: DataFrame
     priors: DataFrame
     labels: tuple[int, ...]
+    fingerprints: DataFrame | None = None
 
     @property
     def vocab(self) -> DataFrame:
@@ -39,6 +41,10 @@ class Model:
 def save_model(model: Model, path: str) -> None:
     model.terms.write.mode("overwrite").parquet(f"{path}/terms")
     model.priors.write.mode("overwrite").parquet(f"{path}/priors")
+    prints = model.fingerprints
+    if prints is None:
+        prints = model.priors.sparkSession.createDataFrame([], "name string, sha string")
+    prints.write.mode("overwrite").parquet(f"{path}/fingerprints")
 
 
 def load_model(spark: SparkSession, path: str) -> Model:
@@ -46,17 +52,11 @@ def load_model(spark: SparkSession, path: str) -> Model:
     try:
         priors = spark.read.parquet(f"{path}/priors")
         terms = spark.read.parquet(f"{path}/terms")
+        prints = spark.read.parquet(f"{path}/fingerprints")
     except Exception as error:
         raise FileNotFoundError(f"no model at {path}; train one first") from error
     labels = tuple(r.label for r in priors.select("label").distinct().orderBy("label").collect())
-    return Model(terms, priors, labels)
-
-
-def file_fingerprints(spark: SparkSession, folder: str, regex: str = ".*") -> DataFrame:
-    """(name, sha) of each file: SHA-256 of its bytes, hashed where the file is read."""
-    files = spark.read.format("binaryFile").load(folder)
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.filter(name.rlike(regex)).select(name.alias("name"), F.sha2("content", 256).alias("sha"))
+    return Model(terms, priors, labels, None if prints.isEmpty() else prints)
 
 
 def row_fingerprints(df: DataFrame, key: str, column: str) -> DataFrame:

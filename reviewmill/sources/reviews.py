@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.config import NA_TOKENS
@@ -38,6 +39,42 @@ def find_files(spark: SparkSession, folder: str, regex: str = r"^data\d+\.csv$")
     return paths
 
 
+def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, place, header, n_lines) for every path, read in one job; no header and 0 lines for an empty file.
+
+    A path is a file or a folder of part files, which counts as one file with one header.
+    """
+    lines = spark.read.text(list(paths)).select(
+        "value",
+        F.col("_metadata.file_path").alias("part"),
+        F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+    )
+    names = spark.createDataFrame([(_plain(p), i) for i, p in enumerate(paths)], "path string, place int")
+    part, folder = _plain_column(F.col("part")), F.regexp_replace(_plain_column(F.col("part")), "/[^/]*$", "")
+    found = lines.join(F.broadcast(names), (part == F.col("path")) | (folder == F.col("path")))  # one row for a path
+    first = found.groupBy("path", "place").agg(F.min_by("value", "at").alias("header"), (F.count("*") - F.count_distinct("part") + 1).alias("n_lines"))
+    return names.join(first, ["path", "place"], "left").select(
+        "path", "place", "header", F.coalesce("n_lines", F.lit(0)).alias("n_lines")
+    )
+
+
+def _plain(path: str) -> str:
+    return re.sub("/+$", "", re.sub("^file:/*", "/", path))
+
+
+def _plain_column(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/*", "/")
+
+
+def file_columns(headers: DataFrame) -> DataFrame:
+    """(file, column): one row for each column that a file's header names."""
+    name = F.element_at(F.split("path", "/"), -1)
+    cells = F.split(F.regexp_replace("header", "^\ufeff", ""), ",")
+    return headers.filter("header IS NOT NULL").select(
+        name.alias("file"), F.explode(F.transform(cells, lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))).alias("column")
+    )
+
+
 def read_reviews(
     spark: SparkSession,
     paths: Sequence[str],
@@ -46,27 +83,42 @@ def read_reviews(
 ) -> DataFrame:
     """CSV files with a header as strings, plus ``file`` and ``row_id``.
 
-    Values that spell "missing" become null. A file without a required column
-    or without rows is an error that names the file. ``row_id`` keeps file order,
-    then row order, within one read.
+    Values that spell "missing" become null. Files without a required column or
+    without rows are an error that names them. Headers come from one job over
+    all files; files with the same header are one read. ``row_id`` is the file's
+    place and the row's place in it, so it keeps file order, then row order.
     """
+    headers = file_headers(spark, paths)
+    rows = headers.orderBy("place").collect()  # one row for a path, as the list of paths
+    columns: dict[str, set[str]] = {}
+    for r in file_columns(headers).collect():
+        columns.setdefault(r["file"], set()).add(r["column"])
+    lacking = [r["path"] for r in rows if not set(required) <= columns.get(r["path"].rsplit("/", 1)[-1], set())]
+    if lacking:
+        raise ValueError(f"columns of {list(required)} are missing in {lacking}")
+    empty = [r["path"] for r in rows if r["n_lines"] < 2]
+    if empty:
+        raise ValueError(f"no rows in {empty}")
+    same: dict[str, list[str]] = {}
+    for r in rows:
+        same.setdefault(r["header"], []).append(r["path"])
+    names = spark.createDataFrame([(r["path"], r["place"]) for r in rows], "_path string, _place long")
+    part, folder = _plain_column(F.col("_part")), F.regexp_replace(_plain_column(F.col("_part")), "/[^/]*$", "")
     parts = []
-    for place, path in enumerate(paths):
+    for group in same.values():
         raw = (
             spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-            .option("nullValue", "").csv(path)
+            .option("nullValue", "").csv(group)
         )
-        missing = [c for c in required if c not in raw.columns]
-        if missing:
-            raise ValueError(f"{path} lacks the columns {missing}")
-        if raw.isEmpty():
-            raise ValueError(f"{path} has no rows")
         values = [F.when(~F.col(c).isin(*na_tokens), F.col(c)).alias(c) for c in raw.columns]
+        row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
         parts.append(
-            raw.select(
-                F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"),
-                (F.lit(place).cast("bigint") * (1 << 50) + F.monotonically_increasing_id()).alias("row_id"),
-                *values,
+            raw.select(F.col("_metadata.file_path").alias("_part"), row.alias("_row"), *values)
+            .join(F.broadcast(names), (part == F.col("_path")) | (folder == F.col("_path")))  # one row for a path
+            .select(
+                F.element_at(F.split("_path", "/"), -1).alias("file"),
+                (F.col("_place") * (1 << 33) + F.col("_row")).alias("row_id"),
+                *raw.columns,
             )
         )
     return union_datasets(*parts)

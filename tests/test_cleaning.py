@@ -66,11 +66,31 @@ def _values(spark, rows, column):
     return [r[0] for r in spark.createDataFrame([(r,) for r in rows], "t string").select(column).collect()]
 
 
+EMOJI_CASES = {
+    "★★ ok ✓ ♪": "★★ ok ✓ ♪",
+    "a©b ™ ▶": "a deskripsi_emoji b  deskripsi_emoji   deskripsi_emoji ",
+    "👍🏽": " deskripsi_emoji ",  # the known thumb does not win against the whole sequence
+    "👍": " positif ",
+    "❤️‍🔥": " deskripsi_emoji ",
+    "❤️ ❤": " positif   positif ",
+    "👩‍💻🐱": " woman_technologist  cat_face ",
+    "🇮🇩 1️⃣": " deskripsi_emoji   deskripsi_emoji ",
+}
+
+
+def test_emoji_sequences_and_plain_symbols(spark):
+    known, names = {"👍": "positif", "❤": "positif"}, {"👩‍💻": "woman technologist", "🐱": "cat-face"}
+    assert _values(spark, EMOJI_CASES, symbols.convert_emojis(F.col("t"), known, names)) == list(EMOJI_CASES.values())
+    assert _values(spark, EMOJI_CASES, symbols.count_emojis(F.col("t"), known)) == [0, 3, 1, 1, 1, 2, 2, 2]
+
+
 def test_broken_encodings_are_repaired(spark):
     cases = {
         "ðŸ˜\x8d bagus 中": "😍 bagus 中",
-        "😍 é".encode().decode("latin1"): "😍 é",
+        "😍 ü".encode().decode("latin1"): "😍 ü",
+        "😍 é".encode().decode("latin1"): "😍 é".encode().decode("latin1"),  # the broken é holds ©, so nothing is gained
         "é": "é",
+        "★ ok".encode().decode("latin1"): "★ ok".encode().decode("latin1"),  # no emoji to gain either
         "Ã©": "Ã©",  # no emoji to gain
         "plain": "plain",
     }

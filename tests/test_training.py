@@ -75,14 +75,41 @@ def test_recorded_conflict_audit(spark):
     assert kept + sum(removed for _, removed, _ in audit.values()) == len(rows)
 
 
-def test_salted_join_is_the_plain_join(spark):
-    facts = spark.range(20000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000).alias("key"))
-    counts = facts.groupBy("key").agg(F.count("*").alias("n"))
-    dim = counts.filter("key % 2 = 0").select("key", (F.col("key") * 2).alias("value"))
-    for how in ("inner", "left"):
-        salted = scale.salted_join(facts, dim, "key", "id", counts, how=how).select("id", "key", "value")
-        plain = facts.join(dim, "key", how).select("id", "key", "value")
-        assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
+def test_hot_cold_join_is_the_plain_join(spark):
+    """A key with a third of the rows is joined where it lies: only the others are shuffled."""
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000)
+    facts = spark.range(60_000).select("id", key.alias("key"))
+    facts = scale.materialize(facts)
+    dim = scale.materialize(spark.range(0, 5000, 2).select(F.col("id").alias("key"), (F.col("id") * 7).alias("value")))
+    counts = scale.materialize(facts.groupBy("key").agg(F.count("*").alias("n")))
+    plain = facts.join(dim, "key").select("id", "key", "value")
+    joined = scale.hot_cold_join(facts, dim, "key", counts).select("id", "key", "value")
+    assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+    hot = counts.filter("key = 0").first().n
+    assert hot > 0.3 * facts.count()
+    far = facts.join(counts.filter(F.col("n") > 60), "key", "left_anti")
+    assert far.filter("key = 0").isEmpty()
+
+
+def test_files_report_their_own_columns(spark, tmp_path):
+    (tmp_path / "data1.csv").write_text("text,sentiment\na,1\nb,\n", encoding="utf-8")
+    (tmp_path / "data2.csv").write_text("text,lang,more\na,en,x\n", encoding="utf-8")
+    (tmp_path / "data3.csv").write_text("", encoding="utf-8")
+    paths = [str(tmp_path / f"data{i}.csv") for i in (1, 2, 3)]
+    with pytest.raises(ValueError, match="data2.csv.*data3.csv"):
+        reviews.read_reviews(spark, paths)
+    columns = reviews.file_columns(reviews.file_headers(spark, paths))
+    rows = reviews.read_reviews(spark, paths[:2], required=())
+    found = {r.file: r for r in quality.file_report(rows, "file", "sentiment", "text", columns).collect()}
+    assert (found["data1.csv"].n_columns, found["data1.csv"].n_missing, found["data1.csv"].status) == (2, 1, "valid")
+    assert (found["data2.csv"].n_columns, found["data2.csv"].issues) == (3, "missing column sentiment")
+    missing = quality.required_columns_check(columns, ["text", "sentiment", "more"]).collect()
+    assert sorted((r.file, r.missing_column) for r in missing) == [("data1.csv", "more"), ("data2.csv", "sentiment")]
+    many = [str(tmp_path / f"data{i}.csv") for i in range(10, 40)]
+    for path in many:
+        (tmp_path / path).write_text("text,sentiment\nx,1\ny,0\n", encoding="utf-8")
+    ids = [r.row_id for r in reviews.read_reviews(spark, many).collect()]
+    assert len(set(ids)) == 60
 
 
 def test_exact_quantiles_of_skewed_values(spark):
