@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +34,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for a written table below the checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables written inside the block when it ends; what reads them has to run inside, too."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in map(hadoop.Path, paths):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:

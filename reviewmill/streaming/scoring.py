@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from reviewmill.config import ReviewConfig
 from reviewmill.operators.vocabulary import Lexicons
 from reviewmill.plans.scoring import batch_score
+from reviewmill.scale import temporary_tables
 from reviewmill.sources.models import Model
 
 
@@ -30,10 +31,11 @@ def score_stream(
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        scored = batch_score(batch, row_id, text, model, lexicons, cfg, fuzzy)
-        scored.withColumn("scored_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")).write.mode(
-            "overwrite"
-        ).parquet(f"{path}/batch={number}")
+        with temporary_tables(batch.sparkSession):
+            scored = batch_score(batch, row_id, text, model, lexicons, cfg, fuzzy)
+            scored.withColumn("scored_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")).write.mode(
+                "overwrite"
+            ).parquet(f"{path}/batch={number}")
 
     return (
         stream.writeStream.foreachBatch(write)

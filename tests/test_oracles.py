@@ -7,11 +7,6 @@ from reviewmill.plans.oracles import ORACLES
 from reviewmill.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-# The long runs repeat work that other cases and test files cover; tests/check_oracles.py runs them too.
-LONG = {
-    "save_model", "load_model", "nb_predict_proba", "confidence_level", "normalization_stats", "clean_text_fuzzy",
-    "batch_score", "train_and_evaluate", "best_dictionary_candidate", "typo_correction", "fuzzy_score",
-}
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +14,7 @@ def connection():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLES and n not in LONG])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLES])
 def test_query_matches_sql(spark, connection, name):
     verdict, detail = compare(QUERIES[name](spark, FOLDER), connection, ORACLES[name])
     assert verdict in ("ok", "near"), detail

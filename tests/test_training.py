@@ -91,6 +91,30 @@ def test_hot_cold_join_is_the_plain_join(spark):
     assert far.filter("key = 0").isEmpty()
 
 
+def test_temporary_tables_go_when_their_block_ends(spark):
+    outer = scale.materialize(spark.range(3))
+    with scale.temporary_tables(spark):
+        inner = scale.materialize(outer)
+        path = inner.inputFiles()[0].rsplit("/", 1)[0]
+        assert inner.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    assert outer.count() == 3
+
+
+def test_scoring_refuses_other_resources(spark, trained):
+    lexicon, model, _ = trained
+    rows = spark.createDataFrame([(1, "buruk")], "id bigint, text string")
+    with pytest.raises(RuntimeError, match="settings"):
+        batch_score(rows, "id", "text", model, lexicon, ReviewConfig(min_df=2))
+
+
+def test_strict_validation_raises(spark):
+    quality.require_valid(spark.createDataFrame([("a", "1")], "text string, sentiment string"), "text", "sentiment")
+    with pytest.raises(ValueError, match="1 blank values in text"):
+        quality.require_valid(spark.createDataFrame([(" ", "1")], "text string, sentiment string"), "text", "sentiment")
+
+
 def test_files_report_their_own_columns(spark, tmp_path):
     (tmp_path / "data1.csv").write_text("text,sentiment\na,1\nb,\n", encoding="utf-8")
     (tmp_path / "data2.csv").write_text("text,lang,more\na,en,x\n", encoding="utf-8")
