@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from reviewmill.llm.base import stored, weighted_rank
 
-#: Documents that one task rounds at a time, on average; the buckets follow the number of rows.
-BUCKET_ROWS = 20_000
+#: Documents of a bucket, on average over all sources; a source with a third of the rows has as much of each.
+BUCKET_ROWS = 2_000
 #: Open remainders that one node of the reduction tree combines, at most.
 FAN_IN = 64
 #: Shares closer than this to 0 or 1 are whole.
@@ -89,15 +89,19 @@ def pivot(share: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.n
 
 
 def _round(rows: DataFrame, group: list[str], seed: int, last: bool = False) -> DataFrame:
-    """Pivot inside each group; the documents are taken in an order that only depends on themselves."""
+    """Pivot inside each group, large documents first, in an order that only depends on the documents.
+
+    A large open document settles over the many small ones after it, so the one
+    that stays open to the end is small as a rule. The last one of a source goes
+    to the nearer side.
+    """
 
     def one(part: pa.Table) -> pa.Table:
-        part = part.take(pc.sort_indices(part, [("_order", "ascending"), ("_fp", "ascending"), ("size", "ascending")]))
+        part = part.take(pc.sort_indices(part, [("size", "descending"), ("_order", "ascending"), ("_fp", "ascending")]))
         rng = np.random.default_rng([seed, part["_order"][0].as_py() & (2**63 - 1), len(part)])
         share = pivot(part["share"].to_numpy(), np.maximum(part["size"].to_numpy().astype(float), 1), rng)
         if last:
-            open_ = (share > 0) & (share < 1)
-            share[open_] = rng.random(int(open_.sum())) < share[open_]
+            share = np.rint(share)
         return part.set_column(part.schema.get_field_index("share"), "share", pa.array(share))
 
     return rows.groupBy(*group).applyInArrow(one, rows.schema)
@@ -120,8 +124,8 @@ def mix(
     source are dealt over buckets by hash, so a source with most of the rows is
     no larger task than another; the one open remainder that a bucket leaves is
     combined with those of other buckets, ``FAN_IN`` at a time, in a reduction
-    tree. Words stay exact at every step but the last coin, so a source misses
-    its target by less than one document.
+    tree. Words stay exact at every step but the last, so a source misses its
+    target by at most half a document.
 
     Sizes are words; null and empty texts have size 0 and get no copy. A null
     source is a source of its own, null keys are allowed, repeated rows are
