@@ -108,23 +108,14 @@ def components(links: DataFrame, names: Links = Links()) -> DataFrame:
         .distinct()
     )
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    labels = stored(nodes.withColumn("root", F.col("node")))
+    labels = nodes.withColumn("root", F.col("node"))
     while not edges.isEmpty():
-        hooks = stored(
-            edges.groupBy(F.col("b").alias("node"))
-            .agg(F.min("a").alias("up"))
-        )
-        hooks = _follow(hooks)
-        labels = stored(
-            labels.join(hooks, labels["root"] == hooks["node"], "left").select(
-                labels["node"], F.coalesce("up", "root").alias("root")
-            )
-        )
-        left = edges.join(hooks, edges["a"] == hooks["node"], "left").select(
-            F.coalesce("up", "a").alias("a"), "b"
-        )
+        hooks = _follow(stored(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up"))))
+        up = hooks.select(F.col("node").alias("_node"), "up")
+        labels = labels.join(up, labels["root"] == up["_node"], "left").select("node", F.coalesce("up", "root").alias("root"))
+        left = edges.join(up, edges["a"] == up["_node"], "left").select(F.coalesce("up", "a").alias("a"), "b")
         edges = stored(
-            left.join(hooks, left["b"] == hooks["node"], "left")
+            left.join(up, left["b"] == up["_node"], "left")
             .select("a", F.coalesce("up", "b").alias("b"))
             .filter("a <> b")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -137,11 +128,7 @@ def _follow(hooks: DataFrame) -> DataFrame:
     """Replace each node's hook by the end of its chain, doubling the step each time."""
     while True:
         upper = hooks.select(F.col("node").alias("_node"), F.col("up").alias("_up"))
-        longer = stored(
-            hooks.join(upper, hooks["up"] == upper["_node"], "left").select(
-                "node", F.coalesce("_up", "up").alias("up"), F.col("_up").isNotNull().alias("_moved")
-            )
-        )
-        hooks = longer.select("node", "up")
-        if longer.filter("_moved").isEmpty():
+        longer = hooks.join(upper, hooks["up"] == upper["_node"], "left")
+        if longer.filter("_up IS NOT NULL").isEmpty():
             return hooks
+        hooks = stored(longer.select("node", F.coalesce("_up", "up").alias("up")))
