@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -10,16 +9,14 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from reviewmill.llm.base import components, row_key, stored, utf8
 
-#: Signs of the sketch that is compared before the full sets.
-SKETCH_BITS = 128
-#: Standard deviations by which a pair at the threshold may miss its expected sketch distance.
-SLACK = 5.5
+#: Classes that a task compares with as many others, all with all.
+BLOCK = 2000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -68,45 +65,42 @@ def shingle_codes(raw: bytes, words: int) -> np.ndarray:
 
 
 class Hasher:
-    """MinHash values of shingle sets."""
+    """The least hash of a shingle set under each of ``n`` functions."""
 
-    def __init__(self, signature: Signature, seed: int):
+    def __init__(self, n: int, seed: int):
         rng = np.random.default_rng(seed)
-        n = signature.size + SKETCH_BITS
-        self.signature = signature
         self.odd = rng.integers(0, 1 << 62, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.add = rng.integers(0, 1 << 62, n, dtype=np.uint64)
-        self.kept = [np.array(k) for k in signature.kept()]
 
     def minima(self, codes: np.ndarray) -> np.ndarray:
-        """The least hash of the set under each function, a few functions and shingles at a time."""
         low = np.full(len(self.odd), np.iinfo(np.uint64).max, np.uint64)
-        for start in range(0, len(codes), 512):
-            part = codes[start : start + 512]
-            h = part[:, None] * self.odd[None, :] + self.add[None, :]
-            low = np.minimum(low, (h ^ (h >> np.uint64(29))).min(axis=0))
+        step = max(1, 100_000 // len(self.odd))  # as many at a time as stay in the processor's cache
+        for start in range(0, len(codes), step):
+            h = codes[start : start + step, None] * self.odd[None, :]
+            h += self.add[None, :]
+            h ^= h >> np.uint64(29)
+            low = np.minimum(low, h.min(axis=0))
         return low
 
-    def keys(self, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The join keys of many signatures (rows), and their sketches as two longs."""
-        s = self.signature
-        value = (low[:, : s.size] * _MIX) >> np.uint64(64 - s.bits)
-        value = value.reshape(len(low), s.chunks, s.width)
-        keys = []
-        for chunk in range(s.chunks):
-            for place, kept in enumerate(self.kept):
-                h = np.full(len(low), chunk * len(self.kept) + place + 1, np.uint64)
-                for k in kept:
-                    h = (h ^ value[:, chunk, k]) * _MIX
-                    h ^= h >> np.uint64(31)
-                keys.append(h)
-        sketch = np.packbits(((low[:, s.size :] * _MIX) >> np.uint64(63)).astype(np.uint8), axis=1)
-        return np.stack(keys, 1).astype(np.int64), sketch.view(">i8").astype(np.int64)
+
+def join_keys(low: np.ndarray, signature: Signature) -> np.ndarray:
+    """The keys of many signatures (rows): one for each chunk and choice of errors."""
+    value = (low * _MIX) >> np.uint64(64 - signature.bits)
+    value = value.reshape(len(low), signature.chunks, signature.width)
+    keys = []
+    for chunk in range(signature.chunks):
+        for place, kept in enumerate(signature.kept()):
+            h = np.full(len(low), chunk * 1000 + place + 1, np.uint64)
+            for k in kept:
+                h = (h ^ value[:, chunk, k]) * _MIX
+                h ^= h >> np.uint64(31)
+            keys.append(h)
+    return np.stack(keys, 1).astype(np.int64)
 
 
 def signatures(docs: DataFrame, key: str, text: str, words: int, signature: Signature, seed: int) -> DataFrame:
-    """(_id, _fp, cls, n, s1, s2, keys) for every row; ``cls`` names the shingle set, null if it is empty."""
-    hasher = Hasher(signature, seed)
+    """(_id, _fp, cls, n, keys) for every row; ``cls`` names the shingle set, null if it is empty."""
+    hasher = Hasher(signature.size, seed)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
@@ -122,20 +116,18 @@ def signatures(docs: DataFrame, key: str, text: str, words: int, signature: Sign
                 else:
                     classes.append(None)
             full = np.array(sizes) > 0
-            width = signature.chunks * len(hasher.kept)
-            keys, sketch = hasher.keys(np.stack(lows)) if lows else (np.zeros((0, width), np.int64), np.zeros((0, 2), np.int64))
+            width = signature.chunks * len(signature.kept())
+            keys = join_keys(np.stack(lows), signature) if lows else np.zeros((0, width), np.int64)
             offsets = np.concatenate([[0], np.cumsum(full) * width]).astype(np.int32)
-            at = pa.array(np.cumsum(full) - 1, mask=~full)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), batch.column("_fp"), pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(sketch[:, 0]).take(at), pa.array(sketch[:, 1]).take(at),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1)))],
-                ["_id", "_fp", "cls", "n", "s1", "s2", "keys"],
+                ["_id", "_fp", "cls", "n", "keys"],
             )
 
     rows = docs.select(*row_key(key, text), F.col(text).alias("_text"))
     kind = dict(rows.dtypes)["_id"]
-    return rows.mapInArrow(sign, f"_id {kind}, _fp long, cls long, n long, s1 long, s2 long, keys array<long>")
+    return rows.mapInArrow(sign, f"_id {kind}, _fp long, cls long, n long, keys array<long>")
 
 
 def near_duplicates(
@@ -153,9 +145,10 @@ def near_duplicates(
     only; a text with fewer words has its whole sequence as its one shingle, a
     null text or one without words has no set and links with nothing. Texts link
     if 100 * intersection >= percent * union. Texts with equal sets are one class;
-    classes that share a key of the multi-index are compared, first by sketch,
-    then on their full sets, until every such pair is confirmed, refused, or
-    already connected. ``component_id`` is the smallest key reachable by links.
+    classes that share a key of the multi-index are compared on their full sets
+    until every such pair is confirmed, refused, or already connected: first each
+    class with one hub, the member of its buckets that shares most keys with others,
+    then what isn't connected yet all with all, in blocks of bounded size. ``component_id`` is the smallest key reachable by links.
 
     Null keys come after all others; repeated rows are rows of one class; other
     columns are not looked at; an empty table gives an empty result. ``_fp`` is
@@ -195,59 +188,116 @@ def keep_first(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str
     return rest.join(twice, "_near_key", "left_anti").select(*docs.columns).unionByName(chosen.select(*docs.columns))
 
 
-def _near(n1: str, n2: str, a: tuple[str, str], b: tuple[str, str], percent: int) -> Column:
-    """What every pair at the threshold meets: sizes exactly, the sketch but for ``SLACK`` deviations."""
-    differ = (1 - percent / 100) / 2
-    most = SKETCH_BITS * differ + SLACK * math.sqrt(SKETCH_BITS * differ * (1 - differ))
-    bits = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(a, b, strict=True)), F.lit(0))
-    sizes = F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
-    return sizes & (bits <= math.floor(most))
-
-
 def _roots(docs: DataFrame, signs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
     """(node, root) over classes: links confirmed on full sets."""
     reps = stored(
-        signs.filter("cls IS NOT NULL")
-        .groupBy("cls", "n", "s1", "s2", "keys")
-        .agg(F.min(F.xxhash64("_id", "_fp")).alias("row"))
+        signs.filter("cls IS NOT NULL").groupBy("cls", "keys").agg(F.min(F.xxhash64("_id", "_fp")).alias("row"))
     )
-    keyed = reps.select("cls", "n", "s1", "s2", F.explode("keys").alias("key"))
-    hubs = stored(
-        keyed.groupBy("key").agg(F.min("cls").alias("hub"), F.max("cls").alias("_last")).filter("hub < _last").select("key", "hub")
-    )
-    facts = reps.select(F.col("cls").alias("hub"), F.col("n").alias("hub_n"), F.col("s1").alias("hub_s1"), F.col("s2").alias("hub_s2"))
-    members = stored(keyed.join(stored(hubs.join(facts, "hub")), "key"))
+    keyed = reps.select("cls", F.explode("keys").alias("key"))
+    crowds = stored(keyed.groupBy("key").agg(F.count("*").alias("crowd")).filter("crowd > 1"))
+    members = stored(keyed.join(crowds, "key"))
+    weights = members.groupBy("cls").agg(F.sum("crowd").alias("degree"))
+    members = stored(members.drop("crowd").join(stored(weights), "cls"))
     texts = stored(_texts(docs, reps, members, key, text))
 
-    # first, each class with the smallest hub it may link to: one pair for a class
-    near_hub = _near("n", "hub_n", ("s1", "s2"), ("hub_s1", "hub_s2"), percent)
-    first = stored(members.filter((F.col("hub") < F.col("cls")) & near_hub).groupBy(F.col("cls").alias("b")).agg(F.min("hub").alias("a")))
-    links = stored(_confirmed(first, texts, words, percent))
-    roots = components(links)
-
-    # then all pairs that share a key and aren't connected yet
-    rooted = stored(
-        members.select("key", "cls", "n", "s1", "s2")
-        .join(roots, members["cls"] == roots["node"], "left")
-        .select("key", "cls", "n", "s1", "s2", F.coalesce("root", "cls").alias("root"))
-    )
-    mixed = stored(
-        rooted.groupBy("key").agg(F.min("root").alias("_first"), F.max("root").alias("_last")).filter("_first < _last").select("key")
+    # first, each class with the best hub of its keys: one pair for a class
+    pairs = stored(_hub_pairs(members))
+    links = stored(_judged(pairs, texts, words, percent).filter("linked"))
+    roots = _rooted(members, links)
+    open_ = _open(members, roots)
+    if open_ is None:
+        return roots
+    more = stored(_left_over(open_, texts, words, percent))
+    return roots if more.isEmpty() else _rooted(members, links.unionByName(more))
+
+
+def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) for every member, linked or not."""
+    found = components(links)
+    nodes = members.select(F.col("cls").alias("node")).distinct()
+    return stored(nodes.join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+
+
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame | None:
+    """(key, cls, degree, root): the members of keys whose members aren't all connected, if there are such keys."""
+    rooted = stored(members.join(roots, members["cls"] == roots["node"]).select("key", "cls", "degree", "root"))
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("_first"), F.max("root").alias("_last")).filter("_first < _last")
+    mixed = stored(mixed.select("key"))
+    return None if mixed.isEmpty() else stored(rooted.join(mixed, "key"))
+
+
+def _hub_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): each class with the hub of its keys of the highest degree; a key's hub is its member of the highest."""
+    best = F.max(F.struct("degree", "cls"))
+    hubs = stored(members.groupBy("key").agg(best.alias("hub")))
+    chosen = (
+        members.select("key", "cls").join(hubs, "key").filter("cls <> hub.cls").groupBy("cls").agg(F.max("hub").alias("hub"))
     )
-    open_ = stored(rooted.join(mixed, "key"))
-    left, right = open_.alias("l"), open_.alias("r")
-    near = _near("l.n", "r.n", ("l.s1", "l.s2"), ("r.s1", "r.s2"), percent)
-    across = (
-        left.join(
-            right,
-            (F.col("l.key") == F.col("r.key")) & (F.col("l.cls") < F.col("r.cls")) & (F.col("l.root") != F.col("r.root")) & near,
-        )
-        .select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b"))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
+    return chosen.select(F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b")).distinct()
+
+
+def _left_over(open_: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b, linked): links that connect what the hubs left apart, found by comparing all with all.
+
+    Classes that are joined by shared keys are one crowd. Its classes are dealt
+    into blocks, and each pair of blocks is one task, which counts the shingles
+    that each class shares with all others and returns a spanning set of the
+    links it finds. So a crowd of any size takes tasks of bounded size, and no
+    pair becomes a row.
+    """
+    first = stored(open_.groupBy("key").agg(F.min("cls").alias("first")))
+    crowds = components(open_.join(first, "key").select(F.col("cls").alias("a"), F.col("first").alias("b")))
+    classes = open_.select("cls", "root").distinct()
+    placed = stored(classes.join(crowds, classes["cls"] == crowds["node"]).select("cls", classes["root"], crowds["root"].alias("crowd")))
+    sizes = placed.groupBy("crowd").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt = placed.join(sizes, "crowd").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    sent = dealt.join(texts, "cls").withColumn("other", other).select(
+        "crowd", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "cls", "root", "text"
     )
-    more = stored(_confirmed(stored(across), texts, words, percent))
-    return roots if more.isEmpty() else components(links.unionByName(more))
+
+    def compare(part: pa.Table) -> pa.Table:
+        sets = [shingle_codes(utf8(t), words) for t in part["text"].to_pylist()]
+        block, cls, root = (part[c].to_numpy() for c in ("block", "cls", "root"))
+        a, b = _spanning(sets, block == part["low"][0].as_py(), block == part["high"][0].as_py(), root, percent)
+        return pa.table({"a": pa.array(cls[a], pa.int64()), "b": pa.array(cls[b], pa.int64()), "linked": pa.array(np.ones(len(a), bool))})
+
+    return sent.groupBy("crowd", "low", "high").applyInArrow(compare, "a long, b long, linked boolean")
+
+
+def _spanning(
+    sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, root: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links between ``left`` and ``right`` members that connect different roots, as many as that takes."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    _, code = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(code, kind="stable")
+    posting, starts = owner[order], np.concatenate([[0], np.cumsum(np.bincount(code))])
+    ends = np.cumsum(sizes)
+    names, root = np.unique(root, return_inverse=True)
+    up = list(range(len(names)))
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    found_a, found_b = [], []
+    for i in np.flatnonzero(left).tolist():
+        mine = code[ends[i] - sizes[i] : ends[i]]
+        low, n = starts[mine], starts[mine + 1] - starts[mine]
+        at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        both = np.bincount(posting[at], minlength=len(sets))
+        close = right & (root != root[i]) & (100 * both >= percent * (sizes[i] + sizes - both))
+        for j in np.flatnonzero(close).tolist():
+            x, y = top(int(root[i])), top(int(root[j]))
+            if x != y:
+                up[y] = x
+                found_a.append(i)
+                found_b.append(j)
+    return np.array(found_a, np.int64), np.array(found_b, np.int64)
 
 
 def _texts(docs: DataFrame, reps: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
@@ -257,8 +307,8 @@ def _texts(docs: DataFrame, reps: DataFrame, members: DataFrame, key: str, text:
     return rows.join(wanted, "row").select("cls", "text").dropDuplicates(["cls"])
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): the pairs whose full sets are similar enough."""
+def _judged(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b, linked): whether the full sets of each pair are similar enough."""
 
     @pandas_udf("boolean")
     def similar(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -275,4 +325,4 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
 
     b = texts.select(F.col("cls").alias("b"), F.col("text").alias("_tb"))
     a = texts.select(F.col("cls").alias("a"), F.col("text").alias("_ta"))
-    return pairs.select("a", "b").join(b, "b").join(a, "a").filter(similar("_ta", "_tb")).select("a", "b")
+    return pairs.select("a", "b").join(b, "b").join(a, "a").select("a", "b", similar("_ta", "_tb").alias("linked"))

@@ -66,14 +66,13 @@ def test_all_pairs_within_the_distance_share_a_key():
     import numpy as np
 
     signature = minhash.Signature(chunks=4, width=3, errors=1)
-    hasher = minhash.Hasher(signature, 1)
     own = np.random.default_rng(0)
-    base = own.integers(0, 1 << 63, (1, len(hasher.odd)), dtype=np.uint64)
+    base = own.integers(0, 1 << 63, (1, signature.size), dtype=np.uint64)
     for _ in range(200):
         other = base.copy()
         at = own.choice(signature.size, signature.distance, replace=False)
         other[0, at] ^= own.integers(1, 1 << 62, len(at), dtype=np.uint64)
-        keys = [set(hasher.keys(x)[0][0].tolist()) for x in (base, other)]
+        keys = [set(minhash.join_keys(x, signature)[0].tolist()) for x in (base, other)]
         assert keys[0] & keys[1]
 
 
