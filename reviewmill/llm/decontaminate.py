@@ -1,10 +1,11 @@
-"""Benchmark passages in documents, found by spaced seeds and checked along the diagonal."""
+"""Benchmark passages in documents, found by seeds that every overlap holds and checked along the diagonal."""
 
 from __future__ import annotations
 
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -14,11 +15,11 @@ from pyspark.sql.functions import pandas_udf
 
 from reviewmill.llm.base import slices
 
-#: Seeds over twelve words; a 0 is a position whose word may differ.
-MASKS = ("111011011101", "110110101111", "111100111011")
 #: Bytes of benchmark text that are compared in one pass over the documents.
 PASS_BYTES = 16 << 20
 BATCH_BYTES = 2_000_000
+#: Shared seeds that are looked at together.
+HITS = 1 << 15
 _SPLIT = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -30,6 +31,38 @@ class Rules:
     words: int = 13
     share: float = 0.8
 
+    @property
+    def parts(self) -> tuple[int, int]:
+        """``share`` as two whole numbers, so that sums of it are exact."""
+        return Fraction(self.share).limit_denominator(1_000_000).as_integer_ratio()
+
+    @property
+    def reach(self) -> int:
+        """Every overlap holds one of at most so many words.
+
+        One of 2 * ``words`` equal words or more can be cut after its first
+        ``words`` equal ones, and one side of the cut keeps the share.
+        """
+        return int((2 * self.words - 1) / self.share) + 1
+
+
+def masks(rules: Rules) -> tuple[str, ...]:
+    """Seeds of which every overlap holds one; a 0 would be a position whose word may differ.
+
+    ``d`` differing words need a number of equal ones to keep the share, and cut
+    them into d + 1 runs at most. The longest run is no shorter than the mean.
+    """
+    up, down = rules.parts
+    longest = rules.words
+    if up < down:
+        for d in range(rules.words + 1):
+            equal = max(rules.words, -(-d * up // (down - up)))
+            longest = min(longest, -(-equal // (d + 1)))
+    return ("1" * longest,)
+
+
+MASKS = masks(Rules())
+
 
 def words_of(text: str | None) -> list[bytes]:
     """Lower-cased words; ASCII punctuation separates."""
@@ -62,7 +95,7 @@ class Index:
 
     BITS = 22
 
-    def __init__(self, items: list[tuple[object, str]]):
+    def __init__(self, items: list[tuple[object, str]], rules: Rules = Rules()):
         lists = [words_of(text) for _, text in items]
         keep = [i for i, words in enumerate(lists) if words]
         self.ids = [items[i][0] for i in keep]
@@ -70,14 +103,14 @@ class Index:
         self.sizes = np.array([len(w) for w in lists], np.int64)
         self.first = np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)
         self.codes = codes_of(lists)
-        span = len(MASKS[0])
-        # items shorter than the masks are looked for as a whole
-        short = sorted({int(n) for n in self.sizes if n < span})
-        self.masks = [*MASKS, *("1" * n for n in short)]
+        seeds = masks(rules)
+        # items no longer than an overlap are looked for as a whole
+        short = sorted({int(n) for n in self.sizes if n <= rules.words})
+        self.masks = list(dict.fromkeys([*seeds, *("1" * n for n in short)]))
         hashes, where = [], []
         for mask in self.masks:
             for i, n in enumerate(self.sizes.tolist()):
-                if n == len(mask) if n < span else len(mask) == span:
+                if n == len(mask) if n <= rules.words else mask in seeds:
                     h = seeded(self.codes[self.first[i] : self.first[i + 1]], mask)
                     hashes.append(h)
                     where.append(self.first[i] + np.arange(len(h)))
@@ -88,28 +121,58 @@ class Index:
         self.filter = np.zeros(1 << self.BITS, bool)
         self.filter[(self.hashes >> np.uint64(64 - self.BITS)).astype(np.int64)] = True
 
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in ``codes`` and in the items' codes that share a seed."""
-        at, there = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    def hits(self, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places in ``codes`` and in the items' codes that share a seed, at most ``HITS`` at a time."""
         for mask in self.masks:
             h = seeded(codes, mask)
             maybe = np.flatnonzero(self.filter[(h >> np.uint64(64 - self.BITS)).astype(np.int64)])
             low = np.searchsorted(self.hashes, h[maybe], "left")
-            n = np.searchsorted(self.hashes, h[maybe], "right") - low
-            at.append(np.repeat(maybe, n))
-            within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            there.append(self.where[np.repeat(low, n) + within])
-        return np.concatenate(at), np.concatenate(there)
-
-
-def best_run(equal: np.ndarray, share: float) -> tuple[int, int]:
-    """The stretch with the best score when a difference costs so much that ``share`` breaks even."""
-    cost = share / (1 - share) if share < 1 else float(len(equal) + 1)
-    total = np.concatenate([[0.0], np.cumsum(np.where(equal, 1.0, -cost))])
-    lowest = np.minimum.accumulate(total)
-    end = int((total - lowest).argmax())
-    start = int(np.flatnonzero(total[: end + 1] == lowest[end])[-1])
-    return start, end
+            ends = np.cumsum(np.searchsorted(self.hashes, h[maybe], "right") - low)
+            for begin in range(0, int(ends[-1]) if len(ends) else 0, HITS):
+                k = np.arange(begin, min(begin + HITS, int(ends[-1])))
+                of = np.searchsorted(ends, k, "right")
+                yield maybe[of], self.where[low[of] + ends[of] - 1 - k]
+
+
+def best_stretch(equal: np.ndarray, rules: Rules) -> tuple[int, int, int]:
+    """(equal words, begin, end) of the stretch with the most equal words that keeps the share, the shortest of these."""
+    up, down = rules.parts
+    ends = np.flatnonzero(equal) + 1
+    if not len(ends):
+        return 0, 0, 0
+    score = np.concatenate([[0], np.cumsum(np.where(equal, down - up, -up))])
+    count = np.concatenate([[0], np.cumsum(equal)])
+    # the first place from which the score up to an end isn't negative is where the lowest score so far gets there
+    start = np.searchsorted(-np.minimum.accumulate(score), -score[ends], "left")
+    n = count[ends] - count[start]
+    start = np.searchsorted(count, count[start], "right") - 1  # begin with an equal word
+    best = np.lexsort((start, ends - start, -n))[0]
+    return int(n[best]), int(start[best]), int(ends[best])
+
+
+def diagonals(codes: np.ndarray, first: np.ndarray, index: Index, rules: Rules) -> set[tuple[int, int, int]]:
+    """(document, item, shift) where enough words near a shared seed are equal."""
+    out: set[tuple[int, int, int]] = set()
+    sizes = np.diff(first)
+    need = np.minimum(rules.words, index.sizes)
+    for at, there in index.hits(codes):
+        doc = np.searchsorted(first, at, "right") - 1
+        item = np.searchsorted(index.first, there, "right") - 1
+        p, q = at - first[doc], there - index.first[item]
+        # of a run of equal words, its first seed is enough
+        begins = (p == 0) | (q == 0) | (codes[at - 1] != index.codes[there - 1])
+        at, there, doc, item, p, q = (x[begins] for x in (at, there, doc, item, p, q))
+        if not len(at):
+            continue
+        # a short overlap that holds a run of fewer than `words` lies within its reach on both sides
+        low = -np.minimum(rules.reach, np.minimum(p, q))
+        high = np.minimum(rules.words + rules.reach, np.minimum(sizes[doc] - p, index.sizes[item] - q))
+        begin = np.concatenate([[0], np.cumsum(high - low)])
+        step = np.arange(begin[-1]) - np.repeat(begin[:-1] - low, high - low)
+        equal = codes[np.repeat(at, high - low) + step] == index.codes[np.repeat(there, high - low) + step]
+        near = np.add.reduceat(equal, begin[:-1], dtype=np.int64) >= need[item]
+        out.update(zip(doc[near].tolist(), item[near].tolist(), (p - q)[near].tolist(), strict=True))
+    return out
 
 
 def overlaps(texts: list[str | None], index: Index, rules: Rules) -> list[list[dict]]:
@@ -121,24 +184,13 @@ def overlaps(texts: list[str | None], index: Index, rules: Rules) -> list[list[d
     sizes = np.array([len(w) for w in lists], np.int64)
     first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
     codes = codes_of(lists)
-    at, there = index.hits(codes)
-    if not len(at):
-        return out
-    doc = np.searchsorted(first, at, "right") - 1
-    item = np.searchsorted(index.first, there, "right") - 1
-    shift = (at - first[doc]) - (there - index.first[item])
     found: dict[tuple[int, int], tuple] = {}
-    for d, i, s in np.unique(np.stack([doc, item, shift], 1), axis=0).tolist():
+    for d, i, s in sorted(diagonals(codes, first, index, rules)):
         begin, end = max(0, s), min(int(sizes[d]), s + int(index.sizes[i]))
-        if end <= begin:
-            continue
         a = codes[first[d] + begin : first[d] + end]
         b = index.codes[index.first[i] + begin - s : index.first[i] + end - s]
-        equal = a == b
-        left, right = best_run(equal, rules.share)
-        n = int(equal[left:right].sum())
-        need = min(rules.words, int(index.sizes[i]))
-        if n >= need and n >= rules.share * (right - left):
+        n, left, right = best_stretch(a == b, rules)
+        if n >= min(rules.words, int(index.sizes[i])):
             best = (-n, right - left, begin + left, begin + left - s)
             if (d, i) not in found or best < found[d, i]:
                 found[d, i] = best
@@ -168,9 +220,9 @@ def find_overlaps(
     for each item with which the text shares an aligned stretch of words, the
     longest one, by place. A stretch counts if at least ``rules.words`` words are
     equal (or all of a shorter item) and at least ``rules.share`` of it. Candidates
-    come from hashes of twelve words that leave out the 0 positions of a mask, so
-    substituted words don't hide a passage; items shorter than a mask are found
-    whole. Whole texts are read. Null or empty texts and items overlap with
+    come from runs of equal words so short that every such stretch has one (4 words
+    for 13 and 0.8), so no placing of substituted words hides a passage; items of at
+    most ``rules.words`` words are found whole. Whole texts are read. Null or empty texts and items overlap with
     nothing; equal items are all named; documents don't depend on each other.
 
     The benchmark is compared in passes of bounded size, so any size of it works;
@@ -188,7 +240,7 @@ def _search(docs: DataFrame, part: list[tuple[object, str]], fields: str, rules:
 
     @pandas_udf(fields)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(shared.value)
+        index = Index(shared.value, rules)
         for batch in batches:
             texts = list(batch)
             cuts = slices(np.array([len(t or "") for t in texts]), BATCH_BYTES)

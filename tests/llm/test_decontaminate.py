@@ -83,3 +83,40 @@ def test_masks_ignore_their_zeros():
         assert dc.seeded(codes, mask)[0] == dc.seeded(changed, mask)[0]
         changed[0] += np.uint64(1)
         assert dc.seeded(codes, mask)[0] != dc.seeded(changed, mask)[0]
+
+
+def test_densely_substituted_passages_are_found(spark, documents, prose):
+    """Every 4th to 9th word at every offset, random words, and the mixtures between, as the plain rule says."""
+    own = random.Random(11)
+    sizes = (13, 14, 15, 16, 17, 18, 20, 25, 40, 60)
+    items = [(k, prose(n, seed=1000 + k)) for k, n in enumerate(sizes)]
+    texts = []
+
+    def plant(words, places):
+        words = [f"other{own.randrange(99)}" if p in places else w for p, w in enumerate(words)]
+        body = [*prose(own.randrange(12)).split(), *words, *prose(own.randrange(12)).split()]
+        texts.append((len(texts), " ".join(body)))
+
+    for _, item in items:
+        words = item.split()
+        for period in range(4, 10):
+            for offset in range(period):
+                plant(words, set(range(offset, len(words), period)))
+        for share in (0.1, 0.15, 0.2, 0.25):
+            for _ in range(4):
+                plant(words, {p for p in range(len(words)) if own.random() < share})
+    plant(items[5][1].split(), {10, 14})  # 10 equal, 1 differing, 3 equal, 1 differing, 3 equal
+    got, want = found(spark, documents, texts, items), brute(texts, items, dc.Rules())
+    assert {key: o.n_equal for key, o in got.items()} == want
+    assert (len(texts) - 1, 5) in got
+
+
+def test_seeds_are_held_by_every_overlap():
+    """All ways to differ that have no smaller overlap inside hold a seed; other rules get other seeds."""
+    from itertools import combinations
+
+    for n, d in ((13, 1), (13, 2), (13, 3), (16, 4), (20, 5)):
+        for places in combinations(range(n + d), d):
+            assert dc.MASKS[0] in "".join("0" if p in places else "1" for p in range(n + d))
+    assert dc.masks(dc.Rules(13, 1.0)) == ("1" * 13,)
+    assert dc.masks(dc.Rules(8, 0.5)) == ("1",)
