@@ -85,8 +85,10 @@ def read_reviews(
 
     Values that spell "missing" become null. Files without a required column or
     without rows are an error that names them. Headers come from one job over
-    all files; files with the same header are one read. ``row_id`` is the file's
-    place and the row's place in it, so it keeps file order, then row order.
+    all files; files with the same header are one read. A path may be a folder of
+    part files. ``row_id`` is made of the number of the part file (by place of
+    its path, then by name) and the row's place in the task that reads the whole
+    part, so it is unique and keeps file order, then row order.
     """
     headers = file_headers(spark, paths)
     rows = headers.orderBy("place").collect()  # one row for a path, as the list of paths
@@ -102,19 +104,23 @@ def read_reviews(
     same: dict[str, list[str]] = {}
     for r in rows:
         same.setdefault(r["header"], []).append(r["path"])
-    names = spark.createDataFrame([(r["path"], r["place"]) for r in rows], "_path string, _place long")
-    part, folder = _plain_column(F.col("_part")), F.regexp_replace(_plain_column(F.col("_part")), "/[^/]*$", "")
+    raws = [
+        spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+        .option("nullValue", "").csv(group)
+        for group in same.values()
+    ]
+    # a part file is never split, so its number and the row's number in its task are unique
+    places = {r["path"]: (r["place"], r["path"]) for r in rows}
+    found = [(places.get(_plain(p)) or places[_plain(p).rsplit("/", 1)[0]], p) for raw in raws for p in raw.inputFiles()]
+    numbered = [(p, path, i) for i, ((_, path), p) in enumerate(sorted(found))]
+    names = spark.createDataFrame(numbered, "_part string, _path string, _place long")
     parts = []
-    for group in same.values():
-        raw = (
-            spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-            .option("nullValue", "").csv(group)
-        )
+    for raw in raws:
         values = [F.when(~F.col(c).isin(*na_tokens), F.col(c)).alias(c) for c in raw.columns]
         row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
         parts.append(
-            raw.select(F.col("_metadata.file_path").alias("_part"), row.alias("_row"), *values)
-            .join(F.broadcast(names), (part == F.col("_path")) | (folder == F.col("_path")))  # one row for a path
+            raw.select(F.col("_metadata.file_path").alias("_name"), row.alias("_row"), *values)
+            .join(F.broadcast(names), _plain_column(F.col("_name")) == _plain_column(F.col("_part")))  # one row for a part
             .select(
                 F.element_at(F.split("_path", "/"), -1).alias("file"),
                 (F.col("_place") * (1 << 33) + F.col("_row")).alias("row_id"),

@@ -136,6 +136,21 @@ def test_files_report_their_own_columns(spark, tmp_path):
     assert len(set(ids)) == 60
 
 
+def test_folders_of_part_files_get_ids_of_their_own(spark, tmp_path):
+    texts = spark.range(0, 60, 1, 6).selectExpr("concat('text ', id % 30) text", "CAST(id % 2 AS string) sentiment")
+    paths = [str(tmp_path / name) for name in ("data1.csv", "data2.csv", "data3.csv")]
+    reviews.write_predictions(texts, paths[0])
+    reviews.write_predictions(texts.selectExpr("*", "'x' more"), paths[1])
+    (tmp_path / "data3.csv").write_text("text,sentiment\nlast,1\nof all,0\n", encoding="utf-8")
+    rows = reviews.read_reviews(spark, paths)
+    found = rows.orderBy("row_id").collect()
+    assert len({r.row_id for r in found}) == len(found) == 122
+    assert [r.file for r in found] == ["data1.csv"] * 60 + ["data2.csv"] * 60 + ["data3.csv"] * 2
+    assert [r.text for r in found] == [f"text {i % 30}" for i in range(60)] * 2 + ["last", "of all"]
+    kept = quality.drop_exact_duplicates(rows, "text", "sentiment", "row_id").collect()
+    assert len(kept) == len({r.text for r in kept}) == 32
+
+
 def test_exact_quantiles_of_skewed_values(spark):
     values = spark.range(3001).select(F.lit("c").alias("g"), F.when(F.col("id") < 1000, 5).otherwise(F.col("id") ** 2).cast("double").alias("v"))
     expected = values.agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).first()[0]
