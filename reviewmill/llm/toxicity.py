@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,14 +32,10 @@ class Bounds:
     calibration_documents: int = 4000
     windows: int = 40_000
     ordinary_bytes: int = 64 * 1024
-    toxic_bytes: int = 4 * 1024
+    toxic_bytes: int = 64 * 1024
     level: int = 6
     #: Words of a window.
     width: int = 1
-    #: The toxic dictionary learns words of which the ordinary one spares at most so many bytes,
-    #: and which occur in so many windows.
-    spared: int = 3
-    seen: int = 5
     #: Compressed windows a task remembers.
     remembered: int = 200_000
 
@@ -147,8 +142,8 @@ def train(
     """Train both dictionaries and the calibration on a bounded sample of labelled rows.
 
     The ordinary dictionary is trained on runs of words of ordinary documents,
-    the toxic one on those words of toxic documents that the ordinary one leaves
-    long. Other documents, labelled too, give the logistic calibration; its
+    the toxic one on those of toxic documents, none left out for its words or its
+    length. Other documents, labelled too, give the logistic calibration; its
     classes are weighted by how frequent they are among all labels. Without
     usable labels of both classes the model is untrained and scores everything
     by the share of toxic labels (0 if there are none).
@@ -168,17 +163,7 @@ def train(
     ordinary = _dictionary(windows.get(0, []), bounds.ordinary_bytes)
     if not ordinary:
         return none
-    left = Lengths(ordinary, bounds.level)
-    plain = left(b"")
-    # what the ordinary dictionary can't shorten, each window's words once
-    rest = [
-        sorted({w for w in window.split() if len(w) > 2 and left(w) - plain >= len(w) - bounds.spared})
-        for window in sorted(set(windows.get(1, [])))
-    ]
-    seen = Counter(w for window in rest for w in window)
-    often = [[w for w in window if seen[w] >= bounds.seen] for window in rest]
-    rest = [b" " + b" ".join(window) + b" " for window in often if window]
-    learnt = _dictionary(rest, bounds.toxic_bytes, 16)
+    learnt = _dictionary(windows.get(1, []), bounds.toxic_bytes, 16)
     if not learnt:
         return none
     model = Model(ordinary, learnt, none.weights, none.middle, none.spread, bounds)
@@ -194,13 +179,21 @@ def train(
 
 
 def _windows(sample: DataFrame, bounds: Bounds) -> dict[int, list[bytes]]:
-    """Runs of 64 words from everywhere in the sample's whole texts, by class, the first by hash."""
+    """Runs of 64 words from everywhere in the sample's whole texts, by class, the first by hash.
+
+    Runs above 4096 bytes are cut into several, so the driver gets a bounded number of bytes.
+    """
+
+    def runs(text: str | None) -> list[bytes]:
+        words = words_of(text)
+        found = [b" ".join(words[i : i + 64]) for i in range(0, len(words), 64)]
+        return [run[i : i + 4096] for run in found for i in range(0, len(run), 4096)]
 
     @pandas_udf("array<binary>")
     def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [b" ".join(w[i : i + 64]) for w in [words_of(t)] for i in range(0, len(w), 64)])
+        return texts.map(runs)
 
-    rows = sample.select("_toxic", F.explode(cut("_text")).alias("w")).filter("length(w) BETWEEN 8 AND 4096")
+    rows = sample.select("_toxic", F.explode(cut("_text")).alias("w"))
     out = {}
     for value in (0, 1):
         own = rows.filter(F.col("_toxic") == value).orderBy(F.xxhash64("w"), "w").limit(bounds.windows // 2)

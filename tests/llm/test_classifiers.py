@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from reviewmill.llm import langid, toxicity
 from reviewmill.llm.base import table
@@ -37,6 +38,24 @@ def test_toxicity_of_odd_texts(spark, documents):
     assert len(got) == 5 and all(0 <= s < 0.5 for s in got) and got[0] == got[1] == got[2]
 
 
+def test_toxic_words_of_few_texts_are_learnt(spark, documents, prose):
+    ordinary = [(i, prose(30, seed=i), "s") for i in range(900)]
+    toxic = [(1000 + i, f"{prose(20, seed=5000 + i)} grobzeug{'abcdefghij'[i // 300]}{i // 3:04d}x", "s") for i in range(900)]
+    docs = documents(ordinary + toxic)
+    labels = docs.select("doc_id", (F.col("doc_id") >= 1000).cast("int").alias("toxic"))
+    model = toxicity.train(docs, labels, bounds=toxicity.Bounds(dictionary_documents=30, calibration_documents=870))
+    assert model.trained
+    found = documents([(1, "grobzeug", "s"), (2, prose(30, seed=7777), "s")])
+    scores = {r.doc_id: r.s for r in found.select("doc_id", toxicity.score_toxicity(found, model).alias("s")).collect()}
+    assert scores[1] > 0.5 > scores[2]
+
+
+def test_long_runs_of_words_are_cut_not_left_out(spark):
+    sample = spark.createDataFrame([("x" * 10_000, 1), ("ab", 1), (None, 1), ("", 0)], "_text string, _toxic int")
+    windows = toxicity._windows(sample, toxicity.Bounds())
+    assert sorted(map(len, windows[1])) == [2, 1808, 4096, 4096] and windows[0] == []
+
+
 def test_languages_on_held_out_documents(spark):
     found = QUERIES["op9_language"](spark, FOLDER)
     rows = found.filter("held_out").join(table(spark, FOLDER, "documents").select("doc_id", "lang"), "doc_id").toPandas()
