@@ -121,7 +121,7 @@ def _write_review_files(spark, folder) -> list[str]:
     root = scratch_path(spark, "reviews")
     rows = _reviews(spark, folder).select("text", F.coalesce("quality", F.lit(-1)).alias("sentiment"), "lang")
     paths = [f"{root}/data1.csv", f"{root}/data2.csv"]
-    for path, part in zip(paths, (F.col("lang") == "en", F.col("lang") != "en"), strict=True):
+    for path, part in zip(paths, (F.col("lang").eqNullSafe("en"), ~F.col("lang").eqNullSafe("en")), strict=True):
         reviews.write_predictions(rows.filter(part), path)
     return paths
 
@@ -276,7 +276,7 @@ def _mixed_files(spark, folder) -> tuple[DataFrame, DataFrame]:
     parts = {
         "data1.csv": rows.filter("lang = 'en'"),
         "data2.csv": rows.filter("lang = 'fr'").drop("sentiment"),
-        "data3.csv": rows.filter("lang NOT IN ('en', 'fr')").drop("text", "lang"),
+        "data3.csv": rows.filter("coalesce(lang NOT IN ('en', 'fr'), true)").drop("text", "lang"),
     }
     for name, part in parts.items():
         reviews.write_predictions(part, f"{root}/{name}")

@@ -8,7 +8,7 @@ from reviewmill.config import ReviewConfig
 from reviewmill.functions.labels import label_value
 from reviewmill.operators import bayes, evaluation, features, profiling, quality
 from reviewmill.operators.vocabulary import Lexicons
-from reviewmill.plans import training
+from reviewmill.plans import queries, training
 from reviewmill.plans.scoring import batch_score
 from reviewmill.sources import lexicons, models, reviews
 from reviewmill.streaming.scoring import score_stream
@@ -242,3 +242,11 @@ def test_stream_scores_arriving_files(spark, trained, tmp_path):
     query.awaitTermination(120)
     rows = {r.id: r.sentimen for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert rows == {1: "Positif", 2: None}
+
+
+def test_documents_without_language_are_in_a_file(spark, tmp_path):
+    documents = [(i, f"text {i}", lang, "s", 6) for i, lang in enumerate(["en", "fr", "de", None, None])]
+    spark.createDataFrame(documents, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(5)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert queries.read_reviews(spark, str(tmp_path)).filter("lang IS NULL").count() == 2
+    assert queries._mixed_files(spark, str(tmp_path))[0].count() == 5
