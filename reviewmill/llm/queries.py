@@ -13,6 +13,7 @@ from reviewmill.llm import (
     langid,
     minhash,
     mixing,
+    runs,
     sharding,
     substrings,
     toxicity,
@@ -92,10 +93,39 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``text`` as op13 takes it: a tenth of the documents, by hash of their id, repeat from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    cut = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    cut = cut.withColumn("n", F.size("words")).withColumn("a", F.expr("CAST(CASE WHEN n > 0 THEN g % n END AS INT)"))
+    cut = cut.withColumn("p", F.expr("CAST(1 + (n - a) DIV (3 + g % 8) AS INT)"))
+    turns = F.expr("flatten(array_repeat(slice(words, a + 1, p), 1 + CAST((n - a) DIV p AS INT)))")
+    repeated = F.array_join(F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), turns), F.lit(1), F.col("n")), " ")
+    return cut.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = with_planted_periods(table(spark, folder, "documents")).select("doc_id", runs.periodic_runs().alias("found"))
+    lines = F.transform("found.runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("found.runs") > 0, "\n").otherwise(""))
+    longest = F.array_max(F.transform("found.runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    described = found.select(
+        "doc_id",
+        F.size("found.runs").cast("long").alias("n_runs"),
+        (-longest["col2"]).alias("start"),
+        longest["length"].alias("length"),
+        (-longest["col3"]).alias("period"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("found.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+    return described.withColumn("exponent_milli", F.expr("(1000 * length) DIV period"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_minhash_dedup, op3_line_dedup, op4_pivotal_mix, op5_url_filter,
-        op6_decontamination, op7_kd_shards, op8_toxicity, op9_language, op10_embedding_dedup,
+        op6_decontamination, op7_kd_shards, op8_toxicity, op9_language, op10_embedding_dedup, op13_periodic_runs,
     )
 }
