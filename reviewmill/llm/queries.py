@@ -13,6 +13,7 @@ from reviewmill.llm import (
     langid,
     minhash,
     mixing,
+    pieces,
     runs,
     sharding,
     substrings,
@@ -93,6 +94,19 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = pieces.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
+    encoded = table(spark, folder, "documents").select("doc_id", pieces.encode(spark, vocabulary).alias("ids"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(pieces.decode(spark, vocabulary, "ids").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """``text`` as op13 takes it: a tenth of the documents, by hash of their id, repeat from some word on."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -126,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_minhash_dedup, op3_line_dedup, op4_pivotal_mix, op5_url_filter,
-        op6_decontamination, op7_kd_shards, op8_toxicity, op9_language, op10_embedding_dedup, op13_periodic_runs,
+        op6_decontamination, op7_kd_shards, op8_toxicity, op9_language, op10_embedding_dedup,
+        op12_sentencepiece, op13_periodic_runs,
     )
 }
