@@ -5,6 +5,11 @@ from __future__ import annotations
 _HOST = r"translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = r"coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
 
+_TERMS = (
+    r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
 ORACLES: dict[str, str] = {
     "op5_url_filter": f"""
         WITH parts AS (SELECT page_id, {_HOST} AS host, {_PATH} AS path FROM pages),
@@ -26,4 +31,31 @@ ORACLES: dict[str, str] = {
         END AS verdict
         FROM ruled
     """,
+    "op11_lexical_search": f"""
+        WITH cut AS (
+            SELECT row_number() OVER () AS r, doc_id, {_TERMS.format("text")} AS words FROM documents
+        ),
+        held AS (SELECT r, doc_id, words, len(words) AS n FROM cut WHERE len(words) > 0),
+        corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM held),
+        tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM held) GROUP BY r, term),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tf, corpus GROUP BY term, docs
+        ),
+        asked AS (
+            SELECT DISTINCT q, item_id, term
+            FROM (SELECT row_number() OVER () AS q, item_id, unnest({_TERMS.format("text")}) AS term FROM benchmark)
+        ),
+        scored AS (
+            SELECT q, item_id, r, doc_id,
+                CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+            FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN held USING (r), corpus
+            GROUP BY q, item_id, r, doc_id
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS place
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10
+    """,
 }

@@ -15,6 +15,7 @@ from reviewmill.llm import (
     mixing,
     pieces,
     runs,
+    search,
     sharding,
     substrings,
     toxicity,
@@ -94,6 +95,10 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -141,6 +146,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_substring_dedup, op2_minhash_dedup, op3_line_dedup, op4_pivotal_mix, op5_url_filter,
         op6_decontamination, op7_kd_shards, op8_toxicity, op9_language, op10_embedding_dedup,
-        op12_sentencepiece, op13_periodic_runs,
+        op11_lexical_search, op12_sentencepiece, op13_periodic_runs,
     )
 }
