@@ -13,9 +13,9 @@ from __future__ import annotations
 
 import codecs
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,7 +25,7 @@ from pyspark.sql.functions import pandas_udf
 
 SPACE = "▁"
 #: Words (with the blank before) and pairs of pieces that one task remembers.
-WORDS, PAIRS = 300_000, 500_000
+WORDS, PAIRS = 150_000, 400_000
 
 
 @dataclass(frozen=True)
@@ -113,7 +113,8 @@ class Encoder:
         # without a piece that goes on with a blank, no merge crosses the place before a blank
         self.parted = not any(SPACE in p.lstrip(SPACE) for p in self.id_of)
         self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if self.parted else ".+", re.DOTALL)
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.edges: dict[tuple[int, int], list[int]] = {}
+        self.picks: dict[tuple[int, int], int] = {}
         self.known = Remembered(self.cover)
 
     def merge(self, text: str) -> tuple[list[int], tuple[int, ...]]:
@@ -131,10 +132,13 @@ class Encoder:
 
     def edge(self, piece: int, side: int) -> list[int]:
         """What stands at one end of a piece while it is merged: a character first, the piece itself last."""
-        parts = [piece]
-        while self.halves[parts[-1]]:
-            parts.append(self.halves[parts[-1]][side])
-        return parts[::-1]
+        known = self.edges.get((piece, side))
+        if known is None:
+            parts = [piece]
+            while self.halves[parts[-1]]:
+                parts.append(self.halves[parts[-1]][side])
+            known = self.edges[piece, side] = parts[::-1]
+        return known
 
     def can_follow(self, left: int, right: int) -> bool:
         """Whether two neighbouring pieces are still these two when their characters are merged again.
@@ -160,52 +164,56 @@ class Encoder:
             else:
                 j += 1
 
-    def fit(self, left: int, right: int) -> bool:
-        """``can_follow``, remembered."""
-        known = self.fits.get((left, right))
+    def pick(self, left: int, piece: int) -> int:
+        """The longest of a piece and the pieces it starts with that can follow ``left``, or -1; remembered."""
+        known = self.picks.get((left, piece))
         if known is None:
-            if len(self.fits) >= PAIRS:
-                self.fits.clear()
-            known = self.fits[left, right] = self.can_follow(left, right)
+            if len(self.picks) >= PAIRS:
+                self.picks.clear()
+            known = piece
+            while known >= 0 and left >= 0 and not self.can_follow(left, known):
+                known = self.shorter[known]
+            self.picks[left, piece] = known
         return known
 
     def cover(self, word: str) -> list[int]:
         """The ids of a text that merging would give; time and memory grow with its length only."""
-        sizes, shorter, known, longest = self.sizes, self.shorter, self.fits.get, self.automaton.iter_long
+        sizes, shorter, pick, longest = self.sizes, self.shorter, self.pick, self.automaton.iter_long
         # the longest pieces from the left, as far as each can follow the one before
         ids = [piece for _, piece in longest(word)]
-        fits = list(map(known, zip(ids, ids[1:])))
-        at = sum(map(sizes.__getitem__, ids))
-        if at != len(word):  # some characters aren't in the vocabulary
-            ids, at = [], 0
-        elif all(fits):
-            return ids
+        n, at = len(word), sum(map(sizes.__getitem__, ids))
+        if at != n:  # some characters aren't in the vocabulary
+            ids = []
         else:
-            del ids[next(k for k, known_to in enumerate(fits) if not known_to) + 1 :]
-            at = sum(map(sizes.__getitem__, ids))
-        n, last = len(word), ids[-1] if ids else -1
+            picked = list(map(self.picks.get, zip(ids, ids[1:])))
+            if picked == ids[1:]:
+                return ids
+            del ids[next(k for k, found in enumerate(picked) if found != ids[k + 1]) + 1 :]
+        at, last = sum(map(sizes.__getitem__, ids)), ids[-1] if ids else -1
         failed = bytearray((n >> 3) + 1)
         ahead = longest(word, at)
         while at < n:
-            end, piece = next(ahead, (n, -1))
-            if piece < 0 or end - sizes[piece] + 1 != at:
+            end, first = next(ahead, (n, -1))
+            if first < 0 or end - sizes[first] + 1 != at:
                 # a character outside the vocabulary, to which nothing is ever joined
                 ids.append(-1 - at)
                 at, last = at + 1, -1
                 ahead = longest(word, at) if at < n else ahead
                 continue
-            first = piece
+            piece = pick(last, first) if last >= 0 else first
             while True:
                 if piece < 0:  # no piece is left for this place: the one before gives way
                     failed[at >> 3] |= 1 << (at & 7)
                     gone = ids.pop()
                     at -= sizes[gone]
-                    piece, last, first = shorter[gone], ids[-1] if ids else -1, -1
-                    continue
-                end = at + sizes[piece]
-                if not failed[end >> 3] >> (end & 7) & 1 and (last < 0 or known((last, piece)) or self.fit(last, piece)):
-                    break
-                piece = shorter[piece]
+                    last, first, piece = ids[-1] if ids else -1, -1, shorter[gone]
+                else:
+                    end = at + sizes[piece]
+                    if not failed[end >> 3] >> (end & 7) & 1:
+                        break
+                    piece = shorter[piece]
+                if piece >= 0 and last >= 0:
+                    piece = pick(last, piece)
             ids.append(piece)
             at, last = end, piece
             if piece != first and at < n:
@@ -228,12 +236,12 @@ class Encoder:
                 words = text.split(" ")
             else:
                 words = [w[1:] for w in self.words.findall(SPACE + text.replace(" ", SPACE))]
-            yield np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int32)
+            yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.intc)
             self.known.tidy()
 
 
 class Remembered(dict):
-    """The ids of words, each written without the blank it begins with; filled when a word is asked for.
+    """The ids of words as bytes, each word without the blank it begins with; filled when a word is asked for.
 
     The words asked for last stay: when there are ``WORDS`` of them, those of the
     time before are forgotten.
@@ -242,10 +250,10 @@ class Remembered(dict):
     def __init__(self, cover: Callable[[str], list[int]]):
         super().__init__()
         self.cover = cover
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = self[word] = self.old.get(word) or tuple(self.cover(SPACE + word))
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.old.get(word) or array("i", self.cover(SPACE + word)).tobytes()
         return ids
 
     def tidy(self) -> None:
@@ -312,6 +320,22 @@ def encode(spark: SparkSession, vocabulary: Vocabulary, text: str | Column = "te
     return to_ids(F.col(text) if isinstance(text, str) else text)
 
 
+def round_trip(spark: SparkSession, vocabulary: Vocabulary, text: str | Column = "text") -> Column:
+    """A struct of what ``encode`` gives for each text, ``ids``, and what ``decode`` makes of that, ``decoded``."""
+    shared = spark.sparkContext.broadcast((Encoder(vocabulary), vocabulary))
+
+    @pandas_udf("ids array<int>, decoded string")
+    def there_and_back(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codecs.register_error(_EACH_BYTE, _replace_byte)
+        encoder, decoder = shared.value[0], Decoder(shared.value[1])
+        for batch in batches:
+            ids = list(encoder.encoded(batch))
+            decoded = [decoder.decode(x.tolist()) for x in ids]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoded, dtype=object)})
+
+    return there_and_back(F.col(text) if isinstance(text, str) else text)
+
+
 def decode(spark: SparkSession, vocabulary: Vocabulary, ids: str | Column) -> Column:
     """The text of each array of ids, as the library decodes it; a null array gives an empty text."""
     shared = spark.sparkContext.broadcast(vocabulary)

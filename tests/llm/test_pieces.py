@@ -60,7 +60,7 @@ def test_few_words_and_pairs_remembered(library, vocabulary, monkeypatch):
     small = pieces.Encoder(vocabulary)
     texts = ["one two three four five six", "one seven two", "", "six unremembered words one"] * 3
     assert [x.tolist() for x in small.encoded(texts)] == library.encode(texts)
-    assert len(small.known) <= 9 and len(small.fits) <= 3
+    assert len(small.known) <= 9 and len(small.picks) <= 3
 
 
 def test_decoding_any_ids(spark, library, vocabulary):
