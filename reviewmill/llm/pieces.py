@@ -16,16 +16,24 @@ import re
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from operator import add
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from reviewmill.llm.base import slices
+
 SPACE = "▁"
-#: Words (with the blank before) and pairs of pieces that one task remembers.
-WORDS, PAIRS = 150_000, 400_000
+#: Words, parts of words and pairs of pieces that a worker remembers (of words and parts up to twice as many).
+WORDS, PARTS, PAIRS = 300_000, 100_000, 400_000
+#: Longer ones aren't remembered.
+LONG = 64
+BATCH_BYTES = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -113,9 +121,12 @@ class Encoder:
         # without a piece that goes on with a blank, no merge crosses the place before a blank
         self.parted = not any(SPACE in p.lstrip(SPACE) for p in self.id_of)
         self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if self.parted else ".+", re.DOTALL)
+        # likewise between two characters that no piece holds side by side
+        self.beside = {p[k : k + 2] for p in self.id_of for k in range(len(p) - 1)}
         self.edges: dict[tuple[int, int], list[int]] = {}
         self.picks: dict[tuple[int, int], int] = {}
-        self.known = Remembered(self.cover)
+        self.parts = Remembered(self.covered, PARTS)
+        self.known = Remembered(self.spelt, WORDS)
 
     def merge(self, text: str) -> tuple[list[int], tuple[int, ...]]:
         """The ids of a few known characters by merging, highest score first, then the leftmost; and the last pair."""
@@ -227,6 +238,15 @@ class Encoder:
             out.extend([i] if i >= 0 else (self.bytes[b] for b in word[-1 - i].encode("utf-8", "surrogatepass")))
         return out
 
+    def covered(self, part: str) -> bytes:
+        return array("i", self.cover(part)).tobytes()
+
+    def spelt(self, rest: str) -> bytes:
+        """The ids, as bytes, of a blank and what follows it up to the next one, put together from its parts."""
+        word = SPACE + rest
+        cuts = [k for k, pair in enumerate(map(add, word, rest), 1) if pair not in self.beside]
+        return b"".join([self.parts[word[a:b]] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)])
+
     def encoded(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text."""
         for text in texts:
@@ -237,29 +257,30 @@ class Encoder:
             else:
                 words = [w[1:] for w in self.words.findall(SPACE + text.replace(" ", SPACE))]
             yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.intc)
-            self.known.tidy()
 
 
 class Remembered(dict):
-    """The ids of words as bytes, each word without the blank it begins with; filled when a word is asked for.
+    """Values of strings, found when they are asked for.
 
-    The words asked for last stay: when there are ``WORDS`` of them, those of the
+    The strings asked for last stay: when there are ``most`` of them, those of the
     time before are forgotten.
     """
 
-    def __init__(self, cover: Callable[[str], list[int]]):
+    def __init__(self, find: Callable[[str], bytes], most: int):
         super().__init__()
-        self.cover = cover
+        self.find, self.most = find, most
         self.old: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self[word] = self.old.get(word) or array("i", self.cover(SPACE + word)).tobytes()
-        return ids
-
-    def tidy(self) -> None:
-        if len(self) > WORDS:
-            self.old = dict(self)
-            self.clear()
+    def __missing__(self, name: str) -> bytes:
+        value = self.old.get(name)
+        if value is None:
+            value = self.find(name)
+        if len(name) <= LONG:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[name] = value
+        return value
 
 
 class Decoder:
@@ -308,7 +329,7 @@ def encode(spark: SparkSession, vocabulary: Vocabulary, text: str | Column = "te
     A null or empty text has no ids. Whole texts are read, of any length and also
     without blanks; documents don't depend on each other and are not moved. The
     vocabulary, some 10,000 pieces, is broadcast; a task remembers at most
-    ``WORDS`` words and ``PAIRS`` pairs of pieces besides the words of one text.
+    twice ``WORDS`` words and ``PARTS`` parts, and ``PAIRS`` pairs of pieces, of some 200 bytes each.
     """
     shared = spark.sparkContext.broadcast(Encoder(vocabulary))
 
@@ -320,20 +341,30 @@ def encode(spark: SparkSession, vocabulary: Vocabulary, text: str | Column = "te
     return to_ids(F.col(text) if isinstance(text, str) else text)
 
 
-def round_trip(spark: SparkSession, vocabulary: Vocabulary, text: str | Column = "text") -> Column:
-    """A struct of what ``encode`` gives for each text, ``ids``, and what ``decode`` makes of that, ``decoded``."""
-    shared = spark.sparkContext.broadcast((Encoder(vocabulary), vocabulary))
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, ids, decoded) for every row: what ``encode`` gives for its text, and what ``decode`` makes of that.
 
-    @pandas_udf("ids array<int>, decoded string")
-    def there_and_back(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    One worker does both, some 2 MB of texts (or one longer text) at a time.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((Encoder(vocabulary), vocabulary))
+
+    def there_and_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codecs.register_error(_EACH_BYTE, _replace_byte)
         encoder, decoder = shared.value[0], Decoder(shared.value[1])
         for batch in batches:
-            ids = list(encoder.encoded(batch))
-            decoded = [decoder.decode(x.tolist()) for x in ids]
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoded, dtype=object)})
-
-    return there_and_back(F.col(text) if isinstance(text, str) else text)
+            column = batch.column("_text")
+            sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+            for a, b in slices(sizes, BATCH_BYTES):
+                ids = list(encoder.encoded(column.slice(a, b - a).to_pylist()))
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(key).slice(a, b - a), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids))),
+                     pa.array([decoder.decode(x.tolist()) for x in ids], pa.string())],
+                    [key, "ids", "decoded"],
+                )
+
+    rows = docs.select(F.col(key), F.col(text).alias("_text"))
+    return rows.mapInArrow(there_and_back, f"{key} {dict(rows.dtypes)[key]}, ids array<int>, decoded string")
 
 
 def decode(spark: SparkSession, vocabulary: Vocabulary, ids: str | Column) -> Column:

@@ -103,12 +103,12 @@ def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     vocabulary = pieces.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
-    found = table(spark, folder, "documents").select("doc_id", pieces.round_trip(spark, vocabulary).alias("found"))
+    found = pieces.round_trip(table(spark, folder, "documents"), vocabulary)
     return found.select(
         "doc_id",
-        F.size("found.ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("found.ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("found.decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

@@ -56,11 +56,13 @@ def test_border_check_against_merging(encoder):
 
 def test_few_words_and_pairs_remembered(library, vocabulary, monkeypatch):
     monkeypatch.setattr(pieces, "WORDS", 3)
+    monkeypatch.setattr(pieces, "PARTS", 2)
+    monkeypatch.setattr(pieces, "LONG", 8)
     monkeypatch.setattr(pieces, "PAIRS", 3)
     small = pieces.Encoder(vocabulary)
     texts = ["one two three four five six", "one seven two", "", "six unremembered words one"] * 3
     assert [x.tolist() for x in small.encoded(texts)] == library.encode(texts)
-    assert len(small.known) <= 9 and len(small.picks) <= 3
+    assert len(small.known) <= 3 and len(small.known.old) <= 3 and len(small.parts) <= 2 and len(small.picks) <= 3
 
 
 def test_decoding_any_ids(spark, library, vocabulary):
@@ -78,6 +80,11 @@ def test_nulls_blanks_repeats_and_clashing_columns(spark, documents, library, vo
     docs = documents([(i, t, "s") for i, t in texts.items()]).withColumnRenamed("size", "ids")
     rows = docs.select("doc_id", "ids", pieces.encode(spark, vocabulary).alias("found")).collect()
     assert {r.doc_id: r.found for r in rows} == {i: library.encode(t or "") for i, t in texts.items()}
+    both = pieces.round_trip(docs, vocabulary).collect()
+    assert {r.doc_id: (r.ids, r.decoded) for r in both} == {
+        i: (library.encode(t or ""), library.decode(library.encode(t or ""))) for i, t in texts.items()
+    }
+    assert pieces.round_trip(documents([]), vocabulary).count() == 0
     assert documents([]).select(pieces.encode(spark, vocabulary).alias("ids")).count() == 0
 
 
