@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.config import NA_TOKENS
+from reviewmill.sources import csv_records
 
 
 def scan_files(spark: SparkSession, folder: str, regex: str = r"^data\d+\.csv$") -> DataFrame:
@@ -40,22 +41,14 @@ def find_files(spark: SparkSession, folder: str, regex: str = r"^data\d+\.csv$")
 
 
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path, place, header, n_lines) for every path, read in one job; no header and 0 lines for an empty file.
+    """(path, place, header) for every path: the column names of its first record, null for an empty file.
 
-    A path is a file or a folder of part files, which counts as one file with one header.
+    A path is a file or a folder of part files, which counts as one file with one
+    header. Only the beginning of one file is read for a path.
     """
-    lines = spark.read.text(list(paths)).select(
-        "value",
-        F.col("_metadata.file_path").alias("part"),
-        F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
-    )
-    names = spark.createDataFrame([(_plain(p), i) for i, p in enumerate(paths)], "path string, place int")
-    part, folder = _plain_column(F.col("part")), F.regexp_replace(_plain_column(F.col("part")), "/[^/]*$", "")
-    found = lines.join(F.broadcast(names), (part == F.col("path")) | (folder == F.col("path")))  # one row for a path
-    first = found.groupBy("path", "place").agg(F.min_by("value", "at").alias("header"), (F.count("*") - F.count_distinct("part") + 1).alias("n_lines"))
-    return names.join(first, ["path", "place"], "left").select(
-        "path", "place", "header", F.coalesce("n_lines", F.lit(0)).alias("n_lines")
-    )
+    reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+    names = [(_plain(p), i, [re.sub("^\ufeff", "", c).strip() for c in reader.csv(p).columns] or None) for i, p in enumerate(paths)]
+    return spark.createDataFrame(names, "path string, place int, header array<string>")
 
 
 def _plain(path: str) -> str:
@@ -69,10 +62,7 @@ def _plain_column(path: Column) -> Column:
 def file_columns(headers: DataFrame) -> DataFrame:
     """(file, column): one row for each column that a file's header names."""
     name = F.element_at(F.split("path", "/"), -1)
-    cells = F.split(F.regexp_replace("header", "^\ufeff", ""), ",")
-    return headers.filter("header IS NOT NULL").select(
-        name.alias("file"), F.explode(F.transform(cells, lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))).alias("column")
-    )
+    return headers.filter("header IS NOT NULL").select(name.alias("file"), F.explode("header").alias("column"))
 
 
 def read_reviews(
@@ -84,50 +74,45 @@ def read_reviews(
     """CSV files with a header as strings, plus ``file`` and ``row_id``.
 
     Values that spell "missing" become null. Files without a required column or
-    without rows are an error that names them. Headers come from one job over
-    all files; files with the same header are one read. A path may be a folder of
-    part files. ``row_id`` is made of the number of the part file (by place of
-    its path, then by name) and the row's place in the task that reads the whole
-    part, so it is unique and keeps file order, then row order.
+    without rows are an error that names them. A path may be a folder of part
+    files, each with the header. Quoted fields may hold line breaks, and files may
+    be of any size: every split of a file is a task (``csv_records``). ``row_id``
+    is made of the number of the part file (by place of its path, then by name)
+    and the row's number in it, so it is unique, keeps file order, then row order,
+    and doesn't depend on the splits.
     """
-    headers = file_headers(spark, paths)
-    rows = headers.orderBy("place").collect()  # one row for a path, as the list of paths
-    columns: dict[str, set[str]] = {}
-    for r in file_columns(headers).collect():
-        columns.setdefault(r["file"], set()).add(r["column"])
-    lacking = [r["path"] for r in rows if not set(required) <= columns.get(r["path"].rsplit("/", 1)[-1], set())]
+    headers = file_headers(spark, paths).orderBy("place").collect()  # one row for a path, as the list of paths
+    lacking = [r["path"] for r in headers if not set(required) <= set(r["header"] or ())]
     if lacking:
         raise ValueError(f"columns of {list(required)} are missing in {lacking}")
-    empty = [r["path"] for r in rows if r["n_lines"] < 2]
-    if empty:
-        raise ValueError(f"no rows in {empty}")
-    same: dict[str, list[str]] = {}
-    for r in rows:
-        same.setdefault(r["header"], []).append(r["path"])
-    raws = [
-        spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-        .option("nullValue", "").csv(group)
-        for group in same.values()
-    ]
-    # a part file is never split, so its number and the row's number in its task are unique
-    places = {r["path"]: (r["place"], r["path"]) for r in rows}
-    found = [(places.get(_plain(p)) or places[_plain(p).rsplit("/", 1)[0]], p) for raw in raws for p in raw.inputFiles()]
-    numbered = [(p, path, i) for i, ((_, path), p) in enumerate(sorted(found))]
+    filled = [r["path"] for r in headers if r["header"]]
+    found = csv_records.records(spark, filled).filter("n > 0") if filled else None  # record 0 is the header
+    places = {r["path"]: r["place"] for r in headers}
+    parts = [_plain(p) for p in spark.read.text(filled).inputFiles()] if filled else []
+    owner = {p: p if p in places else p.rsplit("/", 1)[0] for p in parts}
+    numbered = [(p, owner[p], i) for i, p in enumerate(sorted(parts, key=lambda p: (places[owner[p]], p)))]
     names = spark.createDataFrame(numbered, "_part string, _path string, _place long")
-    parts = []
-    for raw in raws:
-        values = [F.when(~F.col(c).isin(*na_tokens), F.col(c)).alias(c) for c in raw.columns]
-        row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-        parts.append(
-            raw.select(F.col("_metadata.file_path").alias("_name"), row.alias("_row"), *values)
-            .join(F.broadcast(names), _plain_column(F.col("_name")) == _plain_column(F.col("_part")))  # one row for a part
+    found = found.join(F.broadcast(names), _plain_column(F.col("part")) == F.col("_part"))  # one row for a part
+    same: dict[tuple[str, ...], list[str]] = {}
+    for r in headers:
+        same.setdefault(tuple(r["header"] or ()), []).append(r["path"])
+    tables = []
+    for header, group in same.items():
+        schema = ", ".join(f"`c{i}` string" for i in range(len(header)))
+        fields = F.from_csv("record", schema, {"quote": '"', "escape": '"', "nullValue": "", "multiLine": "true", "maxCharsPerColumn": "-1"})
+        values = [F.col(f"_fields.c{i}") for i in range(len(header))]
+        tables.append(
+            found.filter(F.col("_path").isin(group))
+            .select("_path", (F.col("_place") * (1 << 33) + F.col("n") - 1).alias("row_id"), fields.alias("_fields"))
             .select(
-                F.element_at(F.split("_path", "/"), -1).alias("file"),
-                (F.col("_place") * (1 << 33) + F.col("_row")).alias("row_id"),
-                *raw.columns,
+                F.element_at(F.split("_path", "/"), -1).alias("file"), "row_id",
+                *[F.when(~v.isin(*na_tokens), v).alias(c) for c, v in zip(header, values, strict=True)],
             )
         )
-    return union_datasets(*parts)
+    empty = {r["path"] for r in headers} - {r["_path"] for r in found.select("_path").distinct().collect()}
+    if empty:
+        raise ValueError(f"no rows in {sorted(empty, key=places.__getitem__)}")
+    return union_datasets(*tables)
 
 
 def union_datasets(*frames: DataFrame) -> DataFrame:
