@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reviewmill import config
 
 REPEATED = r"([a-z])\1{2,}"
-CONTAINED_SCORE = 90.0
+CONTAINED_SCORE, FAR_SCORE = 90.0, 60.0
 
 
 def repeat_candidates(col: Column) -> Column:
@@ -107,39 +107,55 @@ def open_class(col: Column, rules: Mapping[str, Sequence[str]] = config.LEET) ->
 
 def open_score(a: str, b: str, rules: Mapping[str, Sequence[str]] = config.LEET) -> Column:
     """``fuzzy_score`` of the best reading of ``a``, in which symbols stand for their letters, with the word ``b``."""
-    la, lb = F.length(a), F.length(b)
-    total = la + lb
-    reads = "".join(
-        f" or (c = '{symbol}' and substr({b}, j, 1) in ({', '.join(repr(x) for x in letters)}))"
-        for symbol, letters in sorted(_ambiguous(rules).items())
-    )
-    base = (1 - (total - 2 * common_subsequence(a, b, reads)) / total) * 100
+    several = sorted(_ambiguous(rules).items())
+
+    def reads(word: str) -> str:
+        return "".join(
+            f" or (c = '{symbol}' and substr({word}, j, 1) in ({', '.join(repr(x) for x in letters)}))" for symbol, letters in several
+        )
+
     of_a, of_b = F.col(a), F.col(b)
-    for symbol, letters in sorted(_ambiguous(rules).items()):
+    for symbol, letters in several:
         of_a = F.replace(of_a, F.lit(symbol), F.lit(f"[{''.join(letters)}]"))
         for letter in letters:
             of_b = F.replace(of_b, F.lit(letter), F.lit(f"[{letter}{symbol}]"))
-    inside = (F.greatest(la, lb) * 2 >= F.least(la, lb) * 3) & (F.rlike(F.col(b), of_a) | F.rlike(F.col(a), of_b))
     first = F.lit(False)
-    for symbol, letters in sorted(_ambiguous(rules).items()):
+    for symbol, letters in several:
         first = first | ((F.substring(a, 1, 1) == symbol) & F.substring(b, 1, 1).isin(*letters))
     starts = first | (F.substring(a, 1, 1) == F.substring(b, 1, 1))
-    return F.when(starts, F.when(inside, F.greatest(base, F.lit(CONTAINED_SCORE))).otherwise(base))
+    return F.when(starts, _score(a, b, F.rlike(F.col(b), of_a) | F.rlike(F.col(a), of_b), reads))
 
 
 # The expressions below take column names and are written as SQL text: nested
 # lambdas read better that way and reach the JVM in one call.
 
 
-def common_subsequence(a: str, b: str, also: str = "") -> Column:
-    """Length of the longest common subsequence of two non-empty words, row by row of the usual table.
+#: A bigint holds a word of so many characters, one bit each, and the carry of an addition.
+WORD_BITS = 62
 
-    ``also`` is SQL for further pairs that count as equal: ``c`` is the character of ``a``, ``j`` the place in ``b``.
+
+def _by_bits(a: str, b: str, also: str) -> str:
+    """SQL for the common subsequence of a word with one of at most ``WORD_BITS`` characters.
+
+    A bit for each character of ``b``; it is cleared once the subsequence grows
+    there. One addition moves all bits for a character of ``a``.
     """
-    return F.expr(
-        f"""
+    full = f"(shiftleft(1L, length({b})) - 1L)"
+    return f"""
+        length({b}) - bit_count(aggregate(
+            transform(
+                transform(sequence(1, length({a})), i -> substr({a}, i, 1)),
+                c -> aggregate(sequence(1, length({b})), 0L,
+                    (mask, j) -> mask | if(substr({b}, j, 1) = c{also}, shiftleft(1L, j - 1), 0L))),
+            {full},
+            (open, mask) -> ((open + (open & mask)) | (open & ~mask)) & {full}))"""
+
+
+def _by_rows(a: str, b: str, also: str) -> str:
+    """SQL for the common subsequence of longer words, row by row of the usual table."""
+    return f"""
         element_at(aggregate(
-            split({a}, ''),
+            transform(sequence(1, length({a})), i -> substr({a}, i, 1)),
             array_repeat(0, length({b}) + 1),
             (above, c) -> aggregate(
                 sequence(1, length({b})),
@@ -150,28 +166,63 @@ def common_subsequence(a: str, b: str, also: str = "") -> Column:
                     greatest(element_at(above, j + 1), element_at(done, -1))
                 ))
             )
-        ), -1)
-        """
-    )
+        ), -1)"""
 
 
-def fuzzy_score(a: str, b: str) -> Column:
-    """Similarity 0 to 100 of two words: 200 * LCS / total length.
+def _common_subsequence(a: str, b: str, also: str) -> str:
+    return f"if(length({b}) <= {WORD_BITS}, {_by_bits(a, b, also)}, {_by_rows(a, b, also)})"
 
-    When one word is at least half as long again as the other and contains it,
-    the score is ``CONTAINED_SCORE`` if that is more.
+
+def common_subsequence(a: str, b: str, also: str = "") -> Column:
+    """Length of the longest common subsequence of two non-empty words.
+
+    ``also`` is SQL for further pairs that count as equal: ``c`` is the character of ``a``, ``j`` the place in ``b``.
     """
+    return F.expr(_common_subsequence(a, b, also))
+
+
+def _no_more(_: str) -> str:
+    return ""
+
+
+def window_ratio(a: str, b: str, reads: Callable[[str], str] = _no_more) -> Column:
+    """The best 200 * LCS / total length of the shorter word with a window of the longer one.
+
+    A window is as long as the shorter word, or shorter where it begins or ends
+    the longer one.
+    """
+
+    def best(longer: str, shorter: str, left: str, right: str) -> str:
+        size, places = f"length({shorter})", f"length({longer})"
+        # windows that hang over an end by up to all but one character
+        windows = f"""
+            transform(sequence(2 - {size}, {places}), s ->
+                substr({longer}, greatest(s, 1), {size} + least(s, 1) - 1))"""
+        return f"""
+            array_max(transform({windows}, w ->
+                200 * {_common_subsequence(left, right, reads(right))} / double({size} + length(w))))"""
+
+    return F.expr(f"if(length({a}) >= length({b}), {best(a, b, 'w', b)}, {best(b, a, a, 'w')})")
+
+
+def _score(a: str, b: str, contained: Column, reads: Callable[[str], str]) -> Column:
     la, lb = F.length(a), F.length(b)
     total = la + lb
-    base = (1 - (total - 2 * common_subsequence(a, b)) / total) * 100
-    inside = (F.greatest(la, lb) * 2 >= F.least(la, lb) * 3) & (
-        F.contains(F.col(a), F.col(b)) | F.contains(F.col(b), F.col(a))
-    )
-    return (
-        F.when((la == 0) | (lb == 0), F.lit(0.0))
-        .when(inside, F.greatest(base, F.lit(CONTAINED_SCORE)))
-        .otherwise(base)
-    )
+    base = (1 - (total - 2 * common_subsequence(a, b, reads(b))) / total) * 100
+    share = F.when(F.greatest(la, lb) <= 8 * F.least(la, lb), CONTAINED_SCORE / 100).otherwise(FAR_SCORE / 100)
+    inside = F.greatest(base, share * F.when(contained, F.lit(100.0)).otherwise(window_ratio(a, b, reads)))
+    return F.when(F.greatest(la, lb) * 2 >= F.least(la, lb) * 3, inside).otherwise(base)
+
+
+def fuzzy_score(a: str, b: str) -> Column:
+    """Similarity 0 to 100 of two words: 200 * LCS / total length.
+
+    When one word is at least half as long again as the other, the best window of
+    it counts, too: ``CONTAINED_SCORE`` percent of ``window_ratio``, or
+    ``FAR_SCORE`` percent when it is more than eight times as long.
+    """
+    contained = F.contains(F.col(a), F.col(b)) | F.contains(F.col(b), F.col(a))
+    return F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0.0)).otherwise(_score(a, b, contained, _no_more))
 
 
 def length_gap(size: str, ratio: str | float) -> Column:
@@ -185,6 +236,14 @@ def allowed_distance(l1: str, l2: str, threshold: str) -> Column:
     return F.expr(f"{loose} - pmod({loose} + {l1} + {l2}, 2)")
 
 
+def window_distance(l1: str, l2: str, threshold: str) -> str:
+    """SQL for the largest insert/delete distance of the shorter word to a window that still reaches ``threshold``; -1 for none."""
+    most = f"if(greatest({l1}, {l2}) <= 8 * least({l1}, {l2}), {CONTAINED_SCORE}D, {FAR_SCORE}D)"
+    return f"""
+        if(greatest({l1}, {l2}) * 2 >= least({l1}, {l2}) * 3 and {threshold} <= {most},
+            int(floor((1 - {threshold} / {most}) * 2 * least({l1}, {l2}) + 1e-9D)), -1)"""
+
+
 def deletions(word: str, count: str) -> str:
     """SQL for the distinct strings left after deleting 0, 1 or 2 characters, never the first one."""
     return f"""

@@ -9,23 +9,27 @@ the matching pairs. Two other kinds of join key cover the rest:
 * where more than two characters would go on one side (long words), a word is
   cut into distance + 1 parts; one part must survive unchanged, and pairs that
   share a part are then scored;
-* where one word is at least half as long again as the other, it can only match
-  by containing it, so its substrings of that length are the keys.
+* where one word is at least half as long again as the other, a window of it may
+  match: if it has to hold the other word, its substrings of that length are the
+  keys; if some distance is allowed, the shorter word is cut into distance + 1
+  parts, and one part must stand unchanged somewhere in the longer word.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill import config
 from reviewmill.functions.candidates import (
     CONTAINED_SCORE,
+    FAR_SCORE,
     allowed_distance,
     common_subsequence,
     deletions,
+    fuzzy_score,
     length_gap,
     lookalike_key,
     lookalike_pattern,
@@ -34,12 +38,13 @@ from reviewmill.functions.candidates import (
     open_score,
     substrings,
     token_parts,
+    window_distance,
     word_parts,
 )
 from reviewmill.scale import deal, materialize
 
 MAX_DELETIONS = 2
-BY_DELETION, BY_PART, BY_CONTAINMENT = 0, 1, 2
+BY_DELETION, BY_PART, BY_CONTAINMENT, BY_WINDOW = 0, 1, 2, 3
 # Per rule: how far lengths may differ (a share of the token) and the lowest score.
 Rules = Mapping[int, tuple[float, float]]
 Leet = Mapping[str, Sequence[str]]
@@ -56,15 +61,15 @@ def _routes(df: DataFrame) -> DataFrame:
         F.expr("abs(l1 - l2)") <= length_gap("l1", "ratio")
     )
     cut = sized.withColumn("distance", allowed_distance("l1", "l2", "threshold")).selectExpr(
-        "*", "int((distance + l1 - l2) / 2) as token_cut", "int((distance - l1 + l2) / 2) as word_cut"
+        "*", "int((distance + l1 - l2) / 2) as token_cut", "int((distance - l1 + l2) / 2) as word_cut",
+        f"{window_distance('l1', 'l2', 'threshold')} as inside",
     )
     return cut.selectExpr(
         "*",
         f"""explode(array_compact(array(
             case when distance >= abs(l1 - l2) then
                 if(greatest(token_cut, word_cut) <= {MAX_DELETIONS}, {BY_DELETION}, {BY_PART}) end,
-            case when greatest(l1, l2) * 2 >= least(l1, l2) * 3 and threshold <= {CONTAINED_SCORE}
-                then {BY_CONTAINMENT} end))) as route""",
+            case when inside = 0 then {BY_CONTAINMENT} when inside > 0 then {BY_WINDOW} end))) as route""",
     )
 
 
@@ -84,6 +89,7 @@ def _token_keys(tokens: DataFrame, dictionary: DataFrame, rules: Rules) -> DataF
         f"""explode_outer(case route
             when {BY_DELETION} then {deletions("token", "token_cut")}
             when {BY_PART} then {token_parts("token", "l2", "distance", "word_cut", "token_cut")}
+            when {BY_WINDOW} then if(l1 < l2, {word_parts("token", "inside")}, {token_parts("token", "l2", "inside", "l2", "l1")})
             else {substrings("token", "least(l1, l2)")} end) as key""",
     )
 
@@ -100,6 +106,7 @@ def _word_keys(dictionary: DataFrame, rules: Rules) -> DataFrame:
         f"""explode_outer(case route
             when {BY_DELETION} then {deletions("word", "word_cut")}
             when {BY_PART} then {word_parts("word", "distance")}
+            when {BY_WINDOW} then if(l2 <= l1, {word_parts("word", "inside")}, {token_parts("word", "l1", "inside", "l1", "l2")})
             else {substrings("word", "least(l1, l2)")} end) as key""",
     )
 
@@ -112,7 +119,7 @@ def rule_matches(tokens: DataFrame, dictionary: DataFrame, rules: Rules) -> Data
     joined = _token_keys(tokens, dictionary, rules).join(_word_keys(dictionary, rules), ["rule", "l1", "l2", "route", "key"])
     # An equal remainder at distance 1 or 2 already is the distance, unless the words are equal.
     found = (
-        F.when(F.expr(f"route = {BY_CONTAINMENT}"), F.lit(None))
+        F.when(F.expr(f"route in ({BY_CONTAINMENT}, {BY_WINDOW})"), F.lit(None))
         .when(F.expr("token = word"), F.lit(0))
         .when(F.expr("distance <= 2"), F.col("distance"))
         .otherwise(F.expr("length(token) + length(word)") - 2 * common_subsequence("token", "word"))
@@ -123,11 +130,18 @@ def rule_matches(tokens: DataFrame, dictionary: DataFrame, rules: Rules) -> Data
         .groupBy("rule", "token", "word")
         .agg(F.max("found").alias("found"), F.max("distance").alias("distance"), F.max("route").alias("route"))
     )
-    return pairs.filter(f"route = {BY_CONTAINMENT} or found <= distance").selectExpr(
-        "rule", "token", "word",
-        f"""if(route = {BY_CONTAINMENT}, double({CONTAINED_SCORE}),
-            (1 - found / (length(token) + length(word))) * 100) as score""",
+    score = (
+        F.when(F.expr(f"route = {BY_WINDOW}"), fuzzy_score("token", "word"))
+        .when(F.expr(f"route = {BY_CONTAINMENT}"), F.greatest(F.expr("200D * least(length(token), length(word)) / (length(token) + length(word))"), _most()))
+        .otherwise(F.expr("(1 - found / (length(token) + length(word))) * 100"))
     )
+    scored = pairs.filter(f"route >= {BY_CONTAINMENT} or found <= distance").withColumn("score", score)
+    return scored.filter(F.expr(f"route <> {BY_WINDOW} or score >= {_setting(rules, 1)} - 1e-9D")).select("rule", "token", "word", "score")
+
+
+def _most() -> Column:
+    """The score of a word that the other one holds."""
+    return F.when(F.expr("greatest(length(token), length(word)) <= 8 * least(length(token), length(word))"), CONTAINED_SCORE).otherwise(FAR_SCORE)
 
 
 def fuzzy_matches(tokens: DataFrame, dictionary: DataFrame, ratio: float, threshold: float) -> DataFrame:
