@@ -23,19 +23,19 @@ AFFIXES = (r"^(meng|mem|men|me|ber|ter|di|ke|se|pe)", r"(nya|kan|an|i|lah|kah|ku
 
 @dataclass(frozen=True)
 class Lexicons:
-    """Word tables (any size) and small fixed maps used by cleaning."""
+    """Word tables (any size) used by cleaning; emoticons and emoji are tables, too, or small maps."""
 
     dictionary: DataFrame  # (word)
     stopwords: DataFrame  # (word)
     slang: DataFrame  # (token, target)
     roots: DataFrame | None = None  # (token, root)
     negations: Sequence[str] = config.NEGATIONS
-    kept_words: Sequence[str] = config.ADDITIONAL_WORDS  # like negations, no stopwords whatever the table says
+    kept_words: Sequence[str] = ()  # like negations, no stopwords whatever the table says
     exclusions: Sequence[str] = config.SPECIAL_TOKENS
     leet: dict[str, Sequence[str]] = field(default_factory=lambda: dict(config.LEET))
-    emoticons: dict[str, str] = field(default_factory=dict)
-    emojis: dict[str, str] = field(default_factory=dict)
-    emoji_names: dict[str, str] = field(default_factory=dict)
+    emoticons: dict[str, str] | DataFrame = field(default_factory=dict)  # (emoticon, token)
+    emojis: dict[str, str] | DataFrame = field(default_factory=dict)  # (emoji, token)
+    emoji_names: dict[str, str] | DataFrame = field(default_factory=dict)  # (emoji, name)
     affixes: Sequence[str] = AFFIXES
 
 

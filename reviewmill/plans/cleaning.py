@@ -2,23 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.config import ReviewConfig
 from reviewmill.functions.symbols import convert_emojis, convert_emoticons, repair_mojibake
 from reviewmill.functions.text import clean_structure, collapse_ws, remove_web_noise, tokens
+from reviewmill.operators import symbols
 from reviewmill.operators.tokens import is_protected, joined_negations
 from reviewmill.operators.vocabulary import Lexicons, normalize_vocab, stem_tokens, token_counts
 from reviewmill.scale import hot_cold_join, materialize
 
 
-def structured_text(col: Column, lexicons: Lexicons) -> Column:
-    """Repair, strip web noise, turn emoticons and emoji into tokens, strip symbols."""
-    text = remove_web_noise(repair_mojibake(col))
-    text = convert_emoticons(text, lexicons.emoticons)
-    text = convert_emojis(text, lexicons.emojis, lexicons.emoji_names)
-    return clean_structure(text)
+def structured_text(df: DataFrame, row_id: str, text: str, lexicons: Lexicons) -> DataFrame:
+    """(id, text): repaired, web noise stripped, emoticons and emoji as tokens, symbols stripped.
+
+    Emoticon and emoji lexicons are maps, which go into the expression, or tables of any size.
+    """
+    rows = df.select(F.col(row_id).alias("id"), remove_web_noise(repair_mojibake(F.col(text))).alias("text"))
+    if isinstance(lexicons.emoticons, DataFrame):
+        rows = symbols.convert_emoticons(rows, "id", "text", lexicons.emoticons, *lexicons.emoticons.columns[:2])
+    else:
+        rows = rows.withColumn("text", convert_emoticons(F.col("text"), lexicons.emoticons))
+    if isinstance(lexicons.emojis, DataFrame) or isinstance(lexicons.emoji_names, DataFrame):
+        tables = [_as_table(df, lexicons.emojis, "token"), _as_table(df, lexicons.emoji_names, "name")]
+        rows = symbols.convert_emojis(rows, "id", "text", *tables)
+    else:
+        rows = rows.withColumn("text", convert_emojis(F.col("text"), lexicons.emojis, lexicons.emoji_names))
+    return rows.withColumn("text", clean_structure(F.col("text")))
+
+
+def _as_table(df: DataFrame, lexicon: Mapping[str, str] | DataFrame, value: str) -> DataFrame:
+    if isinstance(lexicon, DataFrame):
+        return lexicon.toDF("emoji", value)
+    return df.sparkSession.createDataFrame(list(lexicon.items()), f"emoji string, {value} string")
 
 
 def decide_tokens(
@@ -55,7 +74,7 @@ def clean_text(
 ) -> DataFrame:
     """(id, clean_text) for every row; texts without tokens become empty strings."""
     listed = materialize(
-        df.select(F.col(row_id).alias("id"), tokens(structured_text(F.col(text), lexicons)).alias("tokens"))
+        structured_text(df, row_id, text, lexicons).select("id", tokens(F.col("text")).alias("tokens"))
     )
     occurrences = listed.select("id", F.posexplode("tokens").alias("pos", "token"))
     counts = materialize(token_counts(occurrences))

@@ -160,7 +160,7 @@ CTES = {
     "dict": """SELECT token AS word FROM dfreq
         WHERE regexp_full_match(token, '[a-z]{4,}') AND df * 50 >= (SELECT count(*) FROM documents)""",
     "stops": "SELECT token AS word FROM dfreq WHERE df * 2 > (SELECT count(*) FROM documents)",
-    "effective_stops": f"SELECT word FROM stops WHERE word NOT IN {_list((*Q.NEGATIONS, *config.ADDITIONAL_WORDS))}",
+    "effective_stops": f"SELECT word FROM stops WHERE word NOT IN {_list(Q.NEGATIONS)}",
     "slang": f"SELECT * FROM (VALUES {_values(Q.SLANG)}) v(token, target)",
     "looked": f"""SELECT v.token, CASE WHEN {PROTECTED.replace('token', 'v.token')} THEN 'protected'
             WHEN s.target IS NOT NULL THEN 'slang' WHEN d.word IS NOT NULL THEN 'dictionary' END AS source,
@@ -645,4 +645,6 @@ ORACLES: dict[str, str] = {
     "chart_confusion": f"SELECT {display('actual::varchar')} AS actual, {display('predicted::varchar')} AS predicted, n FROM matrix",
     "chart_metrics": f"SELECT metric, round(value, 3) AS value FROM (UNPIVOT ({_metrics('pairs')}) ON accuracy, precision, recall, f1 INTO NAME metric VALUE value)",
 }
+# the table forms give what the map forms give
+ORACLES |= {f"{name}_table": ORACLES[name] for name in ("convert_emoticons", "convert_emojis", "emoji_emoticon_counts")}
 ORACLES = {name: _sql(body) for name, body in ORACLES.items()}

@@ -16,6 +16,7 @@ from reviewmill import config
 from reviewmill.config import ReviewConfig
 from reviewmill.functions import candidates, labels, symbols, text
 from reviewmill.operators import bayes, charts, evaluation, features, fuzzy, profiling, quality, tokens, vocabulary
+from reviewmill.operators import symbols as symbol_tables
 from reviewmill.plans import cleaning, scoring, training
 from reviewmill.scale import materialize, scratch_path, spread
 from reviewmill.sources import history, lexicons, models, reviews
@@ -379,6 +380,37 @@ def emoji_emoticon_counts(spark, folder):
     return tokens.emoji_emoticon_counts(rows, "t", EMOTICONS, EMOJIS)
 
 
+def _lexicon_table(spark, known: dict[str, str], others: DataFrame, names: str) -> DataFrame:
+    """A lexicon that grows with the data: known symbols and one in brackets for each row, which no text holds."""
+    listed = spark.createDataFrame(list(known.items()), names)
+    symbol, token = listed.columns
+    return listed.unionByName(others.select(F.concat(F.lit("\u27e6"), F.col(others.columns[0]), F.lit("\u27e7")).alias(symbol), F.lit("x").alias(token)))
+
+
+def convert_emoticons_table(spark, folder):
+    pages = _pages(spark, folder).select("page_id", F.col("html").alias("result"))
+    table = _lexicon_table(spark, EMOTICONS, pages.select("page_id"), "emoticon string, sentiment string")
+    return symbol_tables.convert_emoticons(pages, "page_id", "result", table)
+
+
+def convert_emojis_table(spark, folder):
+    rows = _documents(spark, folder).select("doc_id", _with_emoji(F.col("text")).alias("result"))
+    table = _lexicon_table(spark, EMOJIS, rows.select("doc_id"), "emoji string, token string")
+    names = spark.createDataFrame(list(EMOJI_NAMES.items()), "emoji string, name string")
+    return symbol_tables.convert_emojis(rows, "doc_id", "result", table, names)
+
+
+def emoji_emoticon_counts_table(spark, folder):
+    rows = _pages(spark, folder).select("page_id", _with_emoji(F.col("html")).alias("t"))
+    emojis = _lexicon_table(spark, EMOJIS, rows.select("page_id"), "emoji string, token string")
+    emoticons = _lexicon_table(spark, EMOTICONS, rows.select("page_id"), "emoticon string, sentiment string")
+    counts = [
+        symbol_tables.symbol_count(symbol_tables.emoji_matches(rows, "page_id", "t", emojis), "n_emoji"),
+        symbol_tables.symbol_count(symbol_tables.emoticon_matches(rows, "page_id", "t", emoticons), "n_emoticon"),
+    ]
+    return counts[0].crossJoin(counts[1])  # one row each
+
+
 def clean_text(spark, folder):
     """Cleaned text with exact vocabulary rules."""
     _, lexicon = _vocabulary(spark, folder)
@@ -700,7 +732,8 @@ QUERIES: dict[str, Query] = {
         conflict_audit, resolve_conflicts, drop_exact_duplicates, file_report, file_label_counts, strict_validation,
         column_unique_check, allowed_values_check, not_constant_check, non_empty_check, required_columns_check,
         blank_entry_check, text_marker_check, display_label, invalid_text_mask,
-        repair_mojibake, convert_emojis, tokenize, emoji_emoticon_counts, clean_text, clean_text_fuzzy,
+        repair_mojibake, convert_emojis, tokenize, emoji_emoticon_counts, convert_emoticons_table,
+        convert_emojis_table, emoji_emoticon_counts_table, clean_text, clean_text_fuzzy,
         protected_tokens, slang_lookup, dictionary_lookup, repeat_candidates, leet_candidates, dictionary_block,
         fuzzy_score, best_dictionary_candidate, typo_correction, normalize_vocab, normalize_vocab_exact,
         filter_tokens, combine_negations, stem_tokens, rebuild_text, normalization_stats, count_tokens,

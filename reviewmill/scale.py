@@ -111,11 +111,3 @@ def hot_cold_join(facts: DataFrame, dim: DataFrame, key: str, counts: DataFrame,
     near = facts.join(F.broadcast(dim.join(hot, key, "left_semi")), key)
     far = facts.join(hot, key, "left_anti").join(dim, key)
     return near.unionByName(far)
-
-
-def small_rows(df: DataFrame, limit: int, what: str) -> list:
-    """Collect a lexicon that must be small; refuse anything above ``limit`` rows."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{what} has more than {limit} rows; pass it as a table instead")
-    return rows

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from reviewmill import config
 from reviewmill.functions.symbols import repair_mojibake, without_selector
 from reviewmill.functions.text import is_blank, strip_ws
-from reviewmill.scale import small_rows
 
-MAX_MAP_ROWS = 10_000
+#: Lexicons up to this size are maps in expressions.
+MAP_ROWS = 1_000
 
 
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:
@@ -68,9 +68,13 @@ def read_emoticons(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy("emoticon").agg(F.max_by("sentiment", "line").alias("sentiment"))
 
 
-def lexicon_map(df: DataFrame, key: str, value: str) -> dict[str, str]:
-    """A lexicon as a map for expressions; refuses tables above ``MAX_MAP_ROWS``."""
-    return {r[0]: r[1] for r in small_rows(df.select(key, value), MAX_MAP_ROWS, f"the {key} table")}
+def lexicon_map(df: DataFrame, key: str, value: str) -> dict[str, str] | DataFrame:
+    """A lexicon as a map for expressions if it has at most ``MAP_ROWS`` rows, else the table as (key, value).
+
+    Cleaning takes both forms and gives the same result with either.
+    """
+    rows = df.select(key, value).limit(MAP_ROWS + 1).collect()
+    return {r[0]: r[1] for r in rows} if len(rows) <= MAP_ROWS else df.select(key, value)
 
 
 def build_dictionary(words: DataFrame, extra: DataFrame) -> DataFrame:
