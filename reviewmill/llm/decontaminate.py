@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from fractions import Fraction
+from functools import lru_cache, reduce
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -13,13 +15,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from reviewmill.llm.base import slices
+from reviewmill.llm.base import slices, stored
 
 #: Bytes of benchmark text that are compared in one pass over the documents.
 PASS_BYTES = 16 << 20
 BATCH_BYTES = 2_000_000
 #: Shared seeds that are looked at together.
 HITS = 1 << 15
+#: Words that a mask spans at most.
+SPAN = 8
+COUNTS = ("n_equal", "n_span", "first_word", "item_first_word", "item_words")
 _SPLIT = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -46,11 +51,44 @@ class Rules:
         return int((2 * self.words - 1) / self.share) + 1
 
 
+def covers(family: tuple[str, ...], rules: Rules) -> bool:
+    """Whether every overlap holds a mask of the family, at whatever places its words differ.
+
+    Overlaps are built word by word, equal (1) or differing (0), never completing
+    a mask. Of all that end alike and have as many equal words, the one with the
+    most to spare of the share stands for the others. The family covers if none of
+    them ever is an overlap.
+    """
+    up, down = rules.parts
+    span = max(map(len, family))
+    least = -max(2 * up * span, rules.words * (down - up))
+    spare = {("1", 1): down - up} if "1" not in family else {}
+    todo = dict(spare)
+    while todo:
+        new: dict[tuple[str, int], int] = {}
+        for (ending, n), left in todo.items():
+            if n == rules.words and left >= 0:
+                return False
+            for word, more, change in (("1", 1, down - up), ("0", 0, -up)):
+                tail = ending + word
+                if not any(len(m) <= len(tail) and all(k == "0" or t == "1" for k, t in zip(m, tail[-len(m) :], strict=True)) for m in family):
+                    state = (tail[-max(1, span - 1) :], min(rules.words, n + more))
+                    # what makes up for less than this is an overlap by itself
+                    if left + change > max(spare.get(state, least), new.get(state, least)):
+                        new[state] = left + change
+        spare.update(new)
+        todo = new
+    return True
+
+
+@lru_cache
 def masks(rules: Rules) -> tuple[str, ...]:
-    """Seeds of which every overlap holds one; a 0 would be a position whose word may differ.
+    """A mask with ignored positions and its mirror image of which every overlap holds one.
 
-    ``d`` differing words need a number of equal ones to keep the share, and cut
-    them into d + 1 runs at most. The longest run is no shorter than the mean.
+    Of all up to ``SPAN`` words long, the pair that keeps most positions. A plain run
+    of words where no such pair covers the rules: ``d`` differing words need a number
+    of equal ones to keep the share and cut them into d + 1 runs at most, and the
+    longest run is no shorter than the mean.
     """
     up, down = rules.parts
     longest = rules.words
@@ -58,6 +96,13 @@ def masks(rules: Rules) -> tuple[str, ...]:
         for d in range(rules.words + 1):
             equal = max(rules.words, -(-d * up // (down - up)))
             longest = min(longest, -(-equal // (d + 1)))
+    for kept in range(min(SPAN - 1, rules.words), 1, -1):
+        for size in range(kept + 1, min(SPAN, rules.words) + 1):
+            for zeros in combinations(range(1, size - 1), size - kept):
+                mask = "".join("0" if k in zeros else "1" for k in range(size))
+                family = tuple(dict.fromkeys((mask, mask[::-1])))
+                if covers(family, rules):
+                    return family
     return ("1" * longest,)
 
 
@@ -104,13 +149,14 @@ class Index:
         self.first = np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)
         self.codes = codes_of(lists)
         seeds = masks(rules)
-        # items no longer than an overlap are looked for as a whole
-        short = sorted({int(n) for n in self.sizes if n <= rules.words})
+        span = len(seeds[0])
+        # items too short for a seed are looked for as a whole
+        short = sorted({int(n) for n in self.sizes if n < span})
         self.masks = list(dict.fromkeys([*seeds, *("1" * n for n in short)]))
         hashes, where = [], []
         for mask in self.masks:
             for i, n in enumerate(self.sizes.tolist()):
-                if n == len(mask) if n <= rules.words else mask in seeds:
+                if mask == "1" * n if n < span else mask in seeds:
                     h = seeded(self.codes[self.first[i] : self.first[i + 1]], mask)
                     hashes.append(h)
                     where.append(self.first[i] + np.arange(len(h)))
@@ -159,14 +205,14 @@ def diagonals(codes: np.ndarray, first: np.ndarray, index: Index, rules: Rules)
         doc = np.searchsorted(first, at, "right") - 1
         item = np.searchsorted(index.first, there, "right") - 1
         p, q = at - first[doc], there - index.first[item]
-        # of a run of equal words, its first seed is enough
-        begins = (p == 0) | (q == 0) | (codes[at - 1] != index.codes[there - 1])
-        at, there, doc, item, p, q = (x[begins] for x in (at, there, doc, item, p, q))
+        # a seed stands for those close behind it on the same diagonal
+        _, one = np.unique(np.stack([doc, item, p - q, p // rules.reach], 1), axis=0, return_index=True)
+        at, there, doc, item, p, q = (x[one] for x in (at, there, doc, item, p, q))
         if not len(at):
             continue
-        # a short overlap that holds a run of fewer than `words` lies within its reach on both sides
+        # a short overlap that holds one of these seeds lies within its reach on both sides
         low = -np.minimum(rules.reach, np.minimum(p, q))
-        high = np.minimum(rules.words + rules.reach, np.minimum(sizes[doc] - p, index.sizes[item] - q))
+        high = np.minimum(rules.words + 2 * rules.reach, np.minimum(sizes[doc] - p, index.sizes[item] - q))
         begin = np.concatenate([[0], np.cumsum(high - low)])
         step = np.arange(begin[-1]) - np.repeat(begin[:-1] - low, high - low)
         equal = codes[np.repeat(at, high - low) + step] == index.codes[np.repeat(there, high - low) + step]
@@ -200,38 +246,54 @@ def overlaps(texts: list[str | None], index: Index, rules: Rules) -> list[list[d
     return out
 
 
-def passes(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[object, str]]]:
-    """The benchmark in parts of about ``PASS_BYTES``; each is read from the table by itself."""
+def passes(benchmark: DataFrame, item: str, text: str) -> list[Callable[[], list[tuple[object, str]]]]:
+    """The benchmark in parts of about ``PASS_BYTES``; each is read from the table when it is called for."""
     rows = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text")).filter("text IS NOT NULL")
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-int(size) // PASS_BYTES))
-    for k in range(parts):
+
+    def read(k: int) -> list[tuple[object, str]]:
         part = rows.filter(F.pmod(F.xxhash64("text", "item"), F.lit(parts)) == k)
-        yield sorted(((r["item"], r["text"]) for r in part.collect()), key=lambda r: (r[0] is None, r[0], r[1]))
+        return sorted(((r["item"], r["text"]) for r in part.collect()), key=lambda r: (r[0] is None, r[0], r[1]))
+
+    return [lambda k=k: read(k) for k in range(parts)]
 
 
 def find_overlaps(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-    rules: Rules = Rules(),
-) -> Column:
-    """A column for the rows of ``docs``: the overlaps of each text with the benchmark.
-
-    One entry (item_id, n_equal, n_span, first_word, item_first_word, item_words)
-    for each item with which the text shares an aligned stretch of words, the
-    longest one, by place. A stretch counts if at least ``rules.words`` words are
-    equal (or all of a shorter item) and at least ``rules.share`` of it. Candidates
-    come from runs of equal words so short that every such stretch has one (4 words
-    for 13 and 0.8), so no placing of substituted words hides a passage; items of at
-    most ``rules.words`` words are found whole. Whole texts are read. Null or empty texts and items overlap with
-    nothing; equal items are all named; documents don't depend on each other.
-
-    The benchmark is compared in passes of bounded size, so any size of it works;
-    documents are not moved.
+    docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
+    item_text: str = "text", rules: Rules = Rules(),
+) -> DataFrame:
+    """(key, item_id, n_equal, n_span, first_word, item_first_word, item_words): the overlaps of texts with the benchmark.
+
+    One row for each row of ``docs`` and each item with which its text shares an
+    aligned stretch of words, the longest one. A stretch counts if at least
+    ``rules.words`` words are equal (or all of a shorter item) and at least
+    ``rules.share`` of it. Candidates come from the hashes of two masks that ignore
+    one or more positions and of which every such stretch holds one (``covers``),
+    so no placing of substituted words hides a passage; items too short for a mask
+    are found whole. Whole texts are read. Null or empty texts and items overlap
+    with nothing; equal items are all named; documents don't depend on each other.
+
+    The benchmark is compared in passes of about ``PASS_BYTES``: each is a scan of
+    the documents by itself with its own index, and where there are several, its
+    rows are written before the next begins. Documents are not moved.
     """
+    searches = _passes(docs, benchmark, text, item, item_text, rules)
+    parts = []
+    for search in searches:
+        found = docs.select(F.col(key).alias("_key"), F.explode(search()).alias("o"))
+        parts.append(found if len(searches) == 1 else stored(found))
+    whole = reduce(DataFrame.unionByName, parts)
+    return whole.select(F.col("_key").alias(key), F.col("o.item_id").alias(item), *[f"o.{c}" for c in COUNTS])
+
+
+def _passes(
+    docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str, rules: Rules
+) -> list[Callable[[], Column]]:
+    """For each part of the benchmark, what gives the column of the overlaps with it."""
     kind = dict(benchmark.dtypes)[item]
-    fields = f"array<struct<item_id:{kind},n_equal:int,n_span:int,first_word:int,item_first_word:int,item_words:int>>"
-    columns = [_search(docs, part, fields, rules)(F.col(text)) for part in passes(benchmark, item, item_text)]
-    return F.concat(*columns) if len(columns) > 1 else columns[0]
+    fields = f"array<struct<item_id:{kind},{','.join(f'{c}:int' for c in COUNTS)}>>"
+    return [lambda part=part: _search(docs, part(), fields, rules)(F.col(text)) for part in passes(benchmark, item, item_text)]
 
 
 def _search(docs: DataFrame, part: list[tuple[object, str]], fields: str, rules: Rules):
@@ -249,6 +311,17 @@ def _search(docs: DataFrame, part: list[tuple[object, str]], fields: str, rules:
     return search
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options: object) -> DataFrame:
-    """The rows of ``docs`` that overlap with no benchmark item, columns as they were."""
-    return docs.filter(F.size(find_overlaps(docs, benchmark, text, **options)) == 0)
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
+    rules: Rules = Rules(),
+) -> DataFrame:
+    """The rows of ``docs`` that overlap with no benchmark item, columns as they were.
+
+    One pass of the benchmark is a filter. Of several, each drops rows from what
+    the one before has kept and written.
+    """
+    searches = _passes(docs, benchmark, text, item, item_text, rules)
+    for k, search in enumerate(searches, 1):
+        docs = docs.filter(F.size(search()) == 0)
+        docs = docs if k == len(searches) else stored(docs)
+    return docs

@@ -64,9 +64,7 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    found = docs.select("doc_id", decontaminate.find_overlaps(docs, table(spark, folder, "benchmark")).alias("found"))
-    return found.select("doc_id", F.explode("found").alias("o")).select("doc_id", "o.*")
+    return decontaminate.find_overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
 def op7_kd_shards(spark: SparkSession, folder: str) -> DataFrame:

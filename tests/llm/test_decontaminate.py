@@ -29,8 +29,7 @@ def brute(texts, items, rules):
 def found(spark, documents, texts, items, **options):
     docs = documents([(i, t, "s") for i, t in texts])
     bench = spark.createDataFrame(items, "item_id long, text string")
-    column = dc.find_overlaps(docs, bench, **options)
-    return {(r.doc_id, o.item_id): o for r in docs.select("doc_id", column.alias("o")).collect() for o in r.o}
+    return {(r.doc_id, r.item_id): r for r in dc.find_overlaps(docs, bench, **options).collect()}
 
 
 def test_substituted_passages_are_found_and_others_left(spark, documents, prose):
@@ -61,6 +60,12 @@ def test_passes_give_the_same_result(spark, documents, prose, monkeypatch):
     whole = found(spark, documents, texts, items)
     monkeypatch.setattr(dc, "PASS_BYTES", 300)
     assert set(found(spark, documents, texts, items)) == set(whole) == {(k, j) for k in range(12) for j in (k, (k + 3) % 12)}
+    # each pass is a job by itself: no task holds the indexes of two
+    docs = documents([(i, t, "s") for i, t in texts] + [(99, "clean", "s")])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for result in (dc.find_overlaps(docs, bench), dc.decontaminate(docs, bench)):
+        assert result._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") <= 1
+    assert [r.doc_id for r in dc.decontaminate(docs, bench).collect()] == [99]
 
 
 def test_filter_keeps_columns_and_takes_empty_tables(spark, documents, prose):
@@ -111,12 +116,20 @@ def test_densely_substituted_passages_are_found(spark, documents, prose):
     assert (len(texts) - 1, 5) in got
 
 
+def held(mask, places, size):
+    """Whether a stretch of ``size`` words that differ at ``places`` holds the mask."""
+    return any(all(k == "0" or at + i not in places for i, k in enumerate(mask)) for at in range(size - len(mask) + 1))
+
+
 def test_seeds_are_held_by_every_overlap():
     """All ways to differ that have no smaller overlap inside hold a seed; other rules get other seeds."""
     from itertools import combinations
 
+    assert all("0" in mask for mask in dc.MASKS)
     for n, d in ((13, 1), (13, 2), (13, 3), (16, 4), (20, 5)):
         for places in combinations(range(n + d), d):
-            assert dc.MASKS[0] in "".join("0" if p in places else "1" for p in range(n + d))
-    assert dc.masks(dc.Rules(13, 1.0)) == ("1" * 13,)
-    assert dc.masks(dc.Rules(8, 0.5)) == ("1",)
+            assert any(held(mask, set(places), n + d) for mask in dc.MASKS)
+    assert not dc.covers(("1" * 5,), dc.Rules()) and dc.covers(("1" * 4,), dc.Rules())
+    for rules in (dc.Rules(13, 1.0), dc.Rules(8, 0.5), dc.Rules(20, 0.9), dc.Rules(2, 0.8)):
+        family = dc.masks(rules)
+        assert dc.covers(family, rules) and all(len(mask) <= rules.words for mask in family)
