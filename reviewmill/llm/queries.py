@@ -50,7 +50,8 @@ def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return units.remove_repeated_units(table(spark, folder, "documents"))
+    """Passages also stand inside lines, so units are sentences; stretches below 20 words are stock phrases and stay."""
+    return units.remove_repeated_units(table(spark, folder, "documents"), pattern=units.SENTENCE, least_words=20)
 
 
 def op4_pivotal_mix(spark: SparkSession, folder: str) -> DataFrame:

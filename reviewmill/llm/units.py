@@ -1,4 +1,4 @@
-"""Repeated lines or paragraphs: the earliest occurrence of each stays."""
+"""Repeated sentences, lines or paragraphs: the earliest occurrence of each stays."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from reviewmill.llm.base import row_key, same_row, slices, stored
 
 LINE = re.compile(r"[^\n]+")
 PARAGRAPH = re.compile(r"[^\n]+(?:\n(?!\s*\n)[^\n]+)*")
+SENTENCE = re.compile(r"[^\n.!?]+[.!?]*")
 _PLAIN = str.maketrans(dict.fromkeys(string.punctuation, " "))
 BATCH_BYTES = 4_000_000
 
@@ -25,7 +26,10 @@ def normalised(unit: str) -> str:
 
 
 def _units(rows: DataFrame, pattern: re.Pattern) -> DataFrame:
-    """(_id, _fp, unit, start, stop, d1, d2) for every unit that isn't blank; offsets are in characters."""
+    """(_id, _fp, unit, start, stop, words, d1, d2) for every unit that isn't blank; offsets are in characters.
+
+    Units are numbered without the blank ones.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
@@ -33,40 +37,50 @@ def _units(rows: DataFrame, pattern: re.Pattern) -> DataFrame:
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             for a, b in slices(np.array([len(t or "") for t in texts]), BATCH_BYTES):
-                owner, unit, start, stop, digests = [], [], [], [], []
+                owner, unit, start, stop, words, digests = [], [], [], [], [], []
                 for row in range(a, b):
-                    for k, found in enumerate(pattern.finditer(texts[row] or "")):
+                    k = 0
+                    for found in pattern.finditer(texts[row] or ""):
                         plain = normalised(found.group())
                         if plain:
                             owner.append(row)
                             unit.append(k)
+                            k += 1
                             start.append(found.start())
                             stop.append(found.end())
+                            words.append(plain.count(" ") + 1)
                             digests.append(xxh3_128_digest(plain.encode("utf-8", "replace")))
                 both = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
                 own = pa.array(owner, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_id").take(own), batch.column("_fp").take(own), pa.array(unit, pa.int32()),
-                     pa.array(start, pa.int32()), pa.array(stop, pa.int32()), pa.array(both[:, 0]), pa.array(both[:, 1])],
-                    ["_id", "_fp", "unit", "start", "stop", "d1", "d2"],
+                     pa.array(start, pa.int32()), pa.array(stop, pa.int32()), pa.array(words, pa.int32()),
+                     pa.array(both[:, 0]), pa.array(both[:, 1])],
+                    ["_id", "_fp", "unit", "start", "stop", "words", "d1", "d2"],
                 )
 
     kind = dict(rows.dtypes)["_id"]
-    return rows.mapInArrow(cut, f"_id {kind}, _fp long, unit int, start int, stop int, d1 long, d2 long")
+    return rows.mapInArrow(cut, f"_id {kind}, _fp long, unit int, start int, stop int, words int, d1 long, d2 long")
 
 
 def remove_repeated_units(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", paragraphs: bool = False
+    docs: DataFrame, key: str = "doc_id", text: str = "text", pattern: re.Pattern = LINE, least_words: int = 1
 ) -> DataFrame:
-    """(key, n_units, n_removed, removed, kept_text) for every row of ``docs``.
+    """(key, n_units, n_removed, n_repeated, removed, kept_text) for every row of ``docs``.
 
-    Units are lines, or paragraphs between blank lines. Two units are equal if
-    they agree in lower case without ASCII punctuation and extra blanks; units
+    Units are what ``pattern`` finds: lines, paragraphs between blank lines, or
+    sentences, which also show a passage inside a longer line. Two units are equal
+    if they agree in lower case without ASCII punctuation and extra blanks; units
     with nothing left are not judged. Of equal units the first by key, text hash
-    and place stays, also inside one document; all others go. ``removed`` lists
-    (start, stop, first_key, first_unit): the offsets of each removed unit in the
-    original text, in characters, and where the kept one is; ``kept_text`` is the
-    text without the removed units, each with the line break after it.
+    and place stays, also inside one document; the others go, if they stand in a
+    stretch of neighbours that go with at least ``least_words`` words in all (so a
+    short stock line by itself stays where it is). ``removed`` lists (start, stop,
+    first_key, first_unit): the offsets of each removed unit in the original text,
+    in characters, and where the kept one is; ``kept_text`` is the text without
+    the removed units, of whole lines with the line break after them. ``n_repeated``
+    counts the words of units that occur again anywhere, the kept first ones
+    included, in such stretches: it is above 0 for every document of a repeated
+    passage, ``n_removed`` for all but the first.
 
     A null or empty text has no units and is kept as it is; null keys come last.
     Rows that agree in key and text are one document and get the same result.
@@ -74,7 +88,6 @@ def remove_repeated_units(
     task sends one row for a digest; the join back is of two written tables, in
     which Spark splits a digest with many occurrences.
     """
-    pattern = PARAGRAPH if paragraphs else LINE
     rows = docs.select(*row_key(key, text), F.col(text).alias("_text"))
     units = stored(_units(rows, pattern))
     rank = F.struct(F.col("_id").isNull().alias("_none"), "_id", "_fp", "unit")
@@ -90,39 +103,55 @@ def remove_repeated_units(
     is_first = (
         F.col("_id").eqNullSafe(F.col("first_key")) & (F.col("_fp") == F.col("_first_fp")) & (F.col("unit") == F.col("first_unit"))
     )
-    removed = (
-        units.join(first, ["d1", "d2"])
-        .filter(~is_first)
-        .groupBy("_id", "_fp")
-        .agg(F.sort_array(F.collect_set(F.struct("start", "stop", "first_key", "first_unit"))).alias("removed"))
-    )
-    whole = rows.join(removed, same_row(rows, removed), "left").select(
-        rows["_id"].alias(key), "_text", F.coalesce("removed", F.array().cast(removed.schema["removed"].dataType)).alias("removed")
+    entry = F.struct("unit", "start", "stop", "words", is_first.alias("stays"), "first_key", "first_unit")
+    again = units.join(first, ["d1", "d2"]).groupBy("_id", "_fp").agg(F.sort_array(F.collect_set(entry)).alias("again"))
+    whole = rows.join(again, same_row(rows, again), "left").select(
+        rows["_id"].alias(key), "_text", F.coalesce("again", F.array().cast(again.schema["again"].dataType)).alias("again")
     )
-    return _without(whole, key, pattern)
+    return _without(whole, key, pattern, least_words)
+
+
+def _stretches(units: list[dict], least_words: int) -> list[dict]:
+    """The units in stretches of neighbours with enough words."""
+    out: list[dict] = []
+    begin = 0
+    for k in range(1, len(units) + 1):
+        if k == len(units) or units[k]["unit"] != units[k - 1]["unit"] + 1:
+            if sum(u["words"] for u in units[begin:k]) >= least_words:
+                out += units[begin:k]
+            begin = k
+    return out
 
 
-def _without(whole: DataFrame, key: str, pattern: re.Pattern) -> DataFrame:
-    """Cut the removed units out of the texts."""
-    kind = whole.schema["removed"].dataType.simpleString()
+def _without(whole: DataFrame, key: str, pattern: re.Pattern, least_words: int) -> DataFrame:
+    """Cut the units that go out of the texts."""
+    kind = dict(whole.dtypes)[key]
+    span = f"struct<start:int,stop:int,first_key:{kind},first_unit:int>"
+    names = ["start", "stop", "first_key", "first_unit"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_units, kept = [], []
-            spans = batch.column("removed").to_pylist()
-            for text, gone in zip(batch.column("_text").to_pylist(), spans, strict=True):
+            n_units, n_repeated, removed, kept = [], [], [], []
+            for text, again in zip(batch.column("_text").to_pylist(), batch.column("again").to_pylist(), strict=True):
                 n_units.append(sum(1 for u in pattern.finditer(text or "") if normalised(u.group())))
+                n_repeated.append(sum(u["words"] for u in _stretches(again, least_words)))
+                gone = _stretches([u for u in again if not u["stays"]], least_words)
+                removed.append([{n: u[n] for n in names} for u in gone])
                 parts, at = [], 0
-                for span in gone:
-                    parts.append(text[at : span["start"]])
-                    at = span["stop"] + text.startswith("\n", span["stop"])
+                for unit in gone:
+                    begin, end = unit["start"], unit["stop"]
+                    parts.append(text[at:begin])
+                    whole_line = begin == 0 or text[begin - 1] == "\n"
+                    at = end + (whole_line and text.startswith("\n", end))
                 kept.append("".join([*parts, text[at:]]) if gone else text)
+            ids = batch.column(key)
+            spans = pa.list_(pa.struct([(n, ids.type if n == "first_key" else pa.int32()) for n in names]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(n_units, pa.int32()), pa.array([len(s) for s in spans], pa.int32()),
-                 batch.column("removed"), pa.array(kept, pa.string())],
-                [key, "n_units", "n_removed", "removed", "kept_text"],
+                [ids, pa.array(n_units, pa.int32()), pa.array([len(s) for s in removed], pa.int32()),
+                 pa.array(n_repeated, pa.int64()), pa.array(removed, spans), pa.array(kept, pa.string())],
+                [key, "n_units", "n_removed", "n_repeated", "removed", "kept_text"],
             )
 
     return whole.mapInArrow(
-        cut, f"{key} {dict(whole.dtypes)[key]}, n_units int, n_removed int, removed {kind}, kept_text string"
+        cut, f"{key} {kind}, n_units int, n_removed int, n_repeated long, removed array<{span}>, kept_text string"
     )
