@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.scale import digest
+from reviewmill.sources import snapshots
 
 
 @dataclass(frozen=True)
@@ -39,24 +40,23 @@ class Model:
 
 
 def save_model(model: Model, path: str) -> None:
-    model.terms.write.mode("overwrite").parquet(f"{path}/terms")
-    model.priors.write.mode("overwrite").parquet(f"{path}/priors")
+    """Replace the model at ``path`` as a whole; a job that stops in between leaves the old one."""
+    spark = model.priors.sparkSession
     prints = model.fingerprints
     if prints is None:
-        prints = model.priors.sparkSession.createDataFrame([], "name string, sha string")
-    prints.write.mode("overwrite").parquet(f"{path}/fingerprints")
+        prints = spark.createDataFrame([], "name string, sha string")
+    snapshots.replace(spark, path, {"terms": model.terms, "priors": model.priors, "fingerprints": prints})
 
 
 def load_model(spark: SparkSession, path: str) -> Model:
-    """The saved tables; a missing model is an error."""
+    """The tables saved last; a missing model is an error."""
     try:
-        priors = spark.read.parquet(f"{path}/priors")
-        terms = spark.read.parquet(f"{path}/terms")
-        prints = spark.read.parquet(f"{path}/fingerprints")
-    except Exception as error:
+        tables = snapshots.read(spark, path)
+    except FileNotFoundError as error:
         raise FileNotFoundError(f"no model at {path}; train one first") from error
+    priors, prints = tables["priors"], tables["fingerprints"]
     labels = tuple(r.label for r in priors.select("label").distinct().orderBy("label").collect())
-    return Model(terms, priors, labels, None if prints.isEmpty() else prints)
+    return Model(tables["terms"], priors, labels, None if prints.isEmpty() else prints)
 
 
 def row_fingerprints(df: DataFrame, key: str, column: str) -> DataFrame:
