@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.scale import materialize
+from reviewmill.scale import hot_cold_join, materialize
 
 #: ASCII capitals and their small letters, for rules that lower-case A-Z and nothing else.
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -84,6 +84,18 @@ def number_within(df: DataFrame, bucket: str, order: list[str], name: str) -> Da
     )
 
 
+def named_by_smallest(placed: DataFrame) -> DataFrame:
+    """``placed`` with ``first``, the smallest ``_id`` of each ``root``; a row without a root is named by itself.
+
+    Rows without a root are not shuffled, and those of a root with many rows stay
+    where they are. ``placed`` is a stored table.
+    """
+    linked = placed.filter("root IS NOT NULL")
+    roots = stored(linked.groupBy("root").agg(F.min("_id").alias("first"), F.count("*").alias("rows")))
+    named = hot_cold_join(linked, roots.select("root", "first"), "root", roots, "rows")
+    return named.unionByName(placed.filter("root IS NULL").withColumn("first", F.col("_id")))
+
+
 class Links(NamedTuple):
     """Column names of a table of links."""
 

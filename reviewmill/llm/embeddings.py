@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.base import components, stored
+from reviewmill.llm.base import components, named_by_smallest, stored
 
 #: Signs of a second, independent set of planes, compared before the exact cosine.
 SKETCH_BITS = 128
@@ -120,19 +120,15 @@ def near_duplicates(
     known = classes.select("cls", "n").join(counts, "cls", "left").join(roots, "cls", "left").select(
         "cls", (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("links"), F.coalesce("root", "cls").alias("root")
     )
-    placed = stored(
-        rows.select(
-            "_id", F.when(_usable("_vec"), F.xxhash64(F.col("_vec").cast("array<double>"))).alias("cls")
-        ).join(known, "cls", "left").drop("cls")
-    )
-    first = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("_id").alias("first"))
-    whole = placed.join(first, "root", "left")
-    component = F.when(F.col("root").isNull(), F.col("_id")).otherwise(F.col("first"))
-    return whole.select(
+    classed = rows.select("_id", F.when(_usable("_vec"), F.xxhash64(F.col("_vec").cast("array<double>"))).alias("cls"))
+    linked = classed.filter("cls IS NOT NULL").join(known, "cls", "left")
+    alone = classed.filter("cls IS NULL").selectExpr("cls", "_id", "0L AS links", "cls AS root")  # would meet in one task
+    placed = stored(linked.unionByName(alone).drop("cls"))
+    return named_by_smallest(placed).select(
         F.col("_id").alias(key),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-        component.alias("component_id"),
-        F.col("_id").eqNullSafe(component).alias("kept"),
+        F.col("first").alias("component_id"),
+        F.col("_id").eqNullSafe(F.col("first")).alias("kept"),
     )
 
 

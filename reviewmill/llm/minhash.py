@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from reviewmill.llm.base import components, row_key, stored, utf8
+from reviewmill.llm.base import components, named_by_smallest, row_key, stored, utf8
 
 #: Classes that a task compares with as many others, all with all.
 BLOCK = 2000
@@ -157,16 +157,14 @@ def near_duplicates(
     """
     signs = stored(signatures(docs, key, text, words, signature, seed))
     roots = _roots(docs, signs, key, text, words, percent)
-    placed = stored(
-        signs.select("_id", "_fp", "n", "cls")
-        .join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-        .select("_id", "_fp", "n", F.coalesce("root", "cls").alias("root"))
-    )
-    first = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("_id").alias("first"))
-    component = F.when(F.col("root").isNull(), F.col("_id")).otherwise(F.col("first"))
-    return placed.join(first, "root", "left").select(
-        F.col("_id").alias(key), "_fp", F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.col("_id").eqNullSafe(component).alias("kept"),
+    rows = signs.select("_id", "_fp", "n", "cls")
+    with_set = rows.filter("cls IS NOT NULL").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+    columns = ["_id", "_fp", "n", F.coalesce("root", "cls").alias("root")]
+    without = rows.filter("cls IS NULL").withColumn("root", F.col("cls"))  # all of them would meet in one task
+    placed = stored(with_set.select(*columns).unionByName(without.select(*columns)))
+    return named_by_smallest(placed).select(
+        F.col("_id").alias(key), "_fp", F.col("n").alias("n_shingles"), F.col("first").alias("component_id"),
+        F.col("_id").eqNullSafe(F.col("first")).alias("kept"),
     )
 
 
