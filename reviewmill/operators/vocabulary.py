@@ -13,6 +13,7 @@ from reviewmill import config
 from reviewmill.config import ReviewConfig
 from reviewmill.functions.candidates import REPEATED, reading_candidates, repeat_candidates
 from reviewmill.operators.fuzzy import lookalike_matches, rank_candidates
+from reviewmill.operators.stemming import stems_by_rules
 from reviewmill.operators.tokens import is_protected
 from reviewmill.scale import deal
 from reviewmill.sources.models import table_fingerprint
@@ -36,7 +37,7 @@ class Lexicons:
     emoticons: dict[str, str] | DataFrame = field(default_factory=dict)  # (emoticon, token)
     emojis: dict[str, str] | DataFrame = field(default_factory=dict)  # (emoji, token)
     emoji_names: dict[str, str] | DataFrame = field(default_factory=dict)  # (emoji, name)
-    affixes: Sequence[str] = AFFIXES
+    affixes: Sequence[str] | DataFrame = AFFIXES  # a prefix and a suffix pattern, or a table of rules
 
 
 def resource_fingerprints(lexicons: Lexicons, cfg: ReviewConfig = ReviewConfig()) -> DataFrame:
@@ -151,15 +152,26 @@ def stem_tokens(
     roots: DataFrame | None,
     dictionary: DataFrame,
     exclusions: Sequence[str] = config.SPECIAL_TOKENS,
-    affixes: Sequence[str] = AFFIXES,
+    affixes: Sequence[str] | DataFrame = AFFIXES,
 ) -> DataFrame:
     """(token, stem): protected and dictionary words stay; others use the root table,
     else the longest affix-stripped form that is a dictionary word, else stay.
+
+    ``affixes`` is one prefix and one suffix pattern, each cut once, or a table of
+    rules (``operators/stemming.py``), which are applied until a dictionary word or
+    an entry of the root table is reached.
     """
     token = F.col("token")
     words = dictionary.select("word")
     vocab = vocab.select("token")
     free = vocab.filter(~is_protected(token, exclusions)).join(words.select(F.col("word").alias("token")), "token", "left_anti")
+    if isinstance(affixes, DataFrame):
+        known = words.select("word", F.col("word").alias("stem"))
+        if roots is not None:
+            listed = roots.select(F.col("token").alias("word"), F.col("root").alias("stem"))
+            known = listed.unionByName(known.join(listed.select("word"), "word", "left_anti"))
+        found = stems_by_rules(free, affixes, known).select("token", "stem")
+        return vocab.join(found, "token", "left").select("token", F.coalesce("stem", "token").alias("stem"))
     prefix, suffix = affixes
     bare = F.regexp_replace(token, prefix, "")
     forms = F.array(F.regexp_replace(token, suffix, ""), bare, F.regexp_replace(bare, suffix, ""))
@@ -184,17 +196,21 @@ def stem_tokens(
 
 
 def normalization_stats(counts: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Tokens checked, occurrences per rule, and how often a token was seen again or first."""
+    """Tokens checked, occurrences per rule, and how often a token was seen again or first.
+
+    Decisions that name the tokens new to this run (``fresh``) count all others as seen again.
+    """
     joined = counts.join(decisions, "token")
     rules = {
         "typo_fixed": "typo", "typo_not_found": "not_found", "leet_fixed": "leet",
         "repeated_fixed": "repeated", "slang_normalized": "slang",
     }
     zero = F.lit(0).cast("bigint")
+    first = F.col("fresh").cast("bigint") if "fresh" in joined.columns else F.lit(1).cast("bigint")
     totals = joined.agg(
         F.coalesce(F.sum("n"), zero).alias("tokens_checked"),
         *[F.coalesce(F.sum(F.when(F.col("source") == rule, F.col("n"))), zero).alias(stat) for stat, rule in rules.items()],
-        F.coalesce(F.sum(F.col("n") - 1), zero).alias("cache_hit"),
-        F.count("*").alias("cache_miss"),
+        F.coalesce(F.sum(F.col("n") - first), zero).alias("cache_hit"),
+        F.coalesce(F.sum(first), zero).alias("cache_miss"),
     )
     return totals.unpivot([], totals.columns, "stat", "n")

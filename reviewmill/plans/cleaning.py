@@ -11,8 +11,9 @@ from reviewmill.config import ReviewConfig
 from reviewmill.functions.symbols import convert_emojis, convert_emoticons, repair_mojibake
 from reviewmill.functions.text import clean_structure, collapse_ws, remove_web_noise, tokens
 from reviewmill.operators import symbols
-from reviewmill.operators.tokens import is_protected, joined_negations
-from reviewmill.operators.vocabulary import Lexicons, normalize_vocab, stem_tokens, token_counts
+from reviewmill.operators.tokens import joined_negations
+from reviewmill.operators.vocabulary import Lexicons, token_counts
+from reviewmill.plans.decisions import decide_remembered, decide_tokens
 from reviewmill.scale import hot_cold_join, materialize
 
 
@@ -40,30 +41,6 @@ def _as_table(df: DataFrame, lexicon: Mapping[str, str] | DataFrame, value: str)
     return df.sparkSession.createDataFrame(list(lexicon.items()), f"emoji string, {value} string")
 
 
-def decide_tokens(
-    counts: DataFrame, lexicons: Lexicons, cfg: ReviewConfig = ReviewConfig(), fuzzy: bool = True
-) -> DataFrame:
-    """(token, normalized, source, stem, kept, is_negation, is_exclusion) per distinct token."""
-    decided = materialize(normalize_vocab(counts, lexicons, cfg, fuzzy))
-    word = F.col("normalized")
-    distinct = decided.select(word.alias("token")).distinct()
-    stems = stem_tokens(distinct, lexicons.roots, lexicons.dictionary, lexicons.exclusions, lexicons.affixes)
-    stops = lexicons.stopwords.select(F.lower(F.col(lexicons.stopwords.columns[0])).alias("token")).distinct()
-    stops = stops.filter(~F.col("token").isin(*lexicons.negations, *lexicons.kept_words))
-    facts = stems.join(stops.withColumn("stop", F.lit(True)), "token", "left").select(
-        F.col("token").alias("normalized"), "stem", F.coalesce("stop", F.lit(False)).alias("stop")
-    )
-    return decided.join(facts, "normalized").select(
-        "token",
-        "normalized",
-        "source",
-        "stem",
-        (is_protected(word, lexicons.exclusions) | ((F.length(word) >= cfg.min_token_length) & ~F.col("stop"))).alias("kept"),
-        word.isin(*lexicons.negations).alias("is_negation"),
-        word.isin(*lexicons.exclusions).alias("is_exclusion"),
-    )
-
-
 def clean_text(
     df: DataFrame,
     row_id: str,
@@ -71,14 +48,24 @@ def clean_text(
     lexicons: Lexicons,
     cfg: ReviewConfig = ReviewConfig(),
     fuzzy: bool = True,
+    memory: str | None = None,
+    batch: str | None = None,
 ) -> DataFrame:
-    """(id, clean_text) for every row; texts without tokens become empty strings."""
+    """(id, clean_text) for every row; texts without tokens become empty strings.
+
+    With ``memory``, a folder, token decisions are kept there and those of earlier
+    batches are used again (``plans/decisions.py``); the result is the same.
+    """
     listed = materialize(
         structured_text(df, row_id, text, lexicons).select("id", tokens(F.col("text")).alias("tokens"))
     )
     occurrences = listed.select("id", F.posexplode("tokens").alias("pos", "token"))
     counts = materialize(token_counts(occurrences))
-    decisions = materialize(decide_tokens(counts, lexicons, cfg, fuzzy).filter("kept").drop("kept", "source"))
+    if memory is None:
+        decided = decide_tokens(counts, lexicons, cfg, fuzzy)
+    else:
+        decided = decide_remembered(counts, lexicons, memory, cfg, fuzzy, batch).drop("fresh")
+    decisions = materialize(decided.filter("kept").drop("kept", "source"))
     joined = hot_cold_join(occurrences, decisions, "token", counts)
     items = F.sort_array(
         F.collect_list(F.struct("pos", F.col("normalized").alias("token"), "stem", "is_negation", "is_exclusion"))

@@ -212,6 +212,22 @@ def _stems(vocab: str) -> str:
         JOIN dict d ON f.form = d.word WHERE f.form <> f.token GROUP BY f.token) s USING (token)"""
 
 
+def _rule_stems(vocab: str) -> str:
+    """All derivations of all tokens by all rules; the shortest, then the one by the first rules."""
+    rules = ", ".join(f"({i}, {', '.join(_quoted(x) for x in r[:4])}, {r[4]})" for i, r in enumerate(Q.AFFIX_RULES))
+    return f"""SELECT v.token, coalesce(s.stem, v.token) AS stem FROM {vocab} v LEFT JOIN (
+        WITH RECURSIVE rules AS (SELECT * FROM (VALUES {rules}) r(place, prefix, suffix, head, tail, least)),
+        derived AS (
+            SELECT token, token AS form, []::INTEGER[] AS path FROM {vocab} WHERE NOT {excluded('token')} AND token NOT IN (SELECT word FROM dict)
+            UNION ALL
+            SELECT token, head || substr(form, length(prefix) + 1, length(form) - length(prefix) - length(suffix)) || tail, list_append(path, place)
+            FROM derived JOIN rules ON starts_with(form, prefix) AND ends_with(form, suffix)
+                AND length(form) - length(prefix) - length(suffix) >= least
+            WHERE form NOT IN (SELECT word FROM dict))
+        SELECT token, arg_min(form, struct_pack(a := len(path), b := path)) AS stem FROM derived JOIN dict ON form = word GROUP BY token
+        ) s ON v.token = s.token"""
+
+
 def _cleaning(kind: str) -> dict[str, str]:
     d = f"decided{kind}"
     return {
@@ -576,6 +592,10 @@ ORACLES: dict[str, str] = {
         SELECT id, pos, CASE WHEN {_joins('token', 'nxt')} THEN token || '_' || nxt WHEN {_joins('prv', 'token')} THEN NULL ELSE token END AS word
         FROM (SELECT *, lead(token) OVER w AS nxt, lag(token) OVER w AS prv FROM tok WINDOW w AS (PARTITION BY id ORDER BY pos))) WHERE word IS NOT NULL""",
     "stem_tokens": f"SELECT token, stem FROM ({_stems('dfreq')})",
+    "stem_tokens_rules": f"SELECT token, stem FROM ({_rule_stems('dfreq')})",
+    "remembered_decisions": """SELECT t.token, d.normalized, d.source, s.stem, t.token NOT IN (SELECT token FROM tok JOIN documents ON id = doc_id WHERE lang IS NOT DISTINCT FROM 'en') AS fresh
+        FROM (SELECT DISTINCT token FROM tok JOIN documents ON id = doc_id WHERE lang IS DISTINCT FROM 'en') t
+        JOIN decided_exact d ON t.token = d.token JOIN stems_exact s ON d.normalized = s.token""",
     "rebuild_text": "SELECT id, string_agg(token, ' ' ORDER BY pos) AS clean_text FROM tok GROUP BY id",
     "normalization_stats": """SELECT unnest(['tokens_checked', 'typo_fixed', 'typo_not_found', 'leet_fixed', 'repeated_fixed', 'slang_normalized', 'cache_hit', 'cache_miss']) AS stat,
         coalesce(unnest([sum(n), sum(n) FILTER (source = 'typo'), sum(n) FILTER (source = 'not_found'), sum(n) FILTER (source = 'leet'),

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from reviewmill import config
 from reviewmill.config import ReviewConfig
 from reviewmill.functions import candidates, labels, symbols, text
-from reviewmill.operators import bayes, charts, evaluation, features, fuzzy, profiling, quality, tokens, vocabulary
+from reviewmill.operators import bayes, charts, evaluation, features, fuzzy, profiling, quality, stemming, tokens, vocabulary
 from reviewmill.operators import symbols as symbol_tables
-from reviewmill.plans import cleaning, scoring, training
+from reviewmill.plans import cleaning, decisions, scoring, training
 from reviewmill.scale import materialize, scratch_path, spread
 from reviewmill.sources import history, lexicons, models, reviews
 
@@ -25,6 +25,12 @@ from reviewmill.sources import history, lexicons, models, reviews
 NEGATIONS = ("no", "nicht", "pas")
 SLANG = {"und": "and", "der": "the", "avec": "with", "les": "the", "oder": "or"}
 AFFIXES = (r"^(un|re|ge|be)", r"(ing|ed|en|er|es|s|e)$")
+# The same as a table: (prefix, suffix, head, tail, least), in order of preference.
+AFFIX_RULES = [
+    ("", "ies", "", "y", 2), ("", "ing", "", "", 3), ("", "ing", "", "e", 2), ("un", "ed", "", "", 3), ("ge", "t", "", "en", 3),
+    ("", "ed", "", "", 3), ("", "ed", "", "e", 2), ("", "er", "", "", 3), ("", "en", "", "", 3), ("", "es", "", "", 3),
+    ("", "s", "", "", 3), ("", "e", "", "", 3), ("un", "", "", "", 3), ("re", "", "", "", 3), ("ge", "", "", "", 3), ("be", "", "", "", 3),
+]
 EMOTICONS = {
     ":)": "positif", ":(": "negatif", ":-)": "positif", "8)": "positif", "=3": "positif", ":/": "netral",
     "d:": "netral", ";;": "negatif", "D:": "negatif", "oO": "netral", ":a": "netral", ";}": "positif",
@@ -507,6 +513,24 @@ def stem_tokens(spark, folder):
     return vocabulary.stem_tokens(counts, None, lexicon.dictionary, lexicon.exclusions, AFFIXES)
 
 
+def stem_tokens_rules(spark, folder):
+    """The same tokens by a table of rules, which are applied until a dictionary word is reached."""
+    counts, lexicon = _vocabulary(spark, folder)
+    rules = stemming.affix_rules(spark, AFFIX_RULES)
+    return vocabulary.stem_tokens(counts, None, lexicon.dictionary, lexicon.exclusions, rules)
+
+
+def remembered_decisions(spark, folder):
+    """Decisions for all documents in two batches, English ones first; the second decides only what is new in it."""
+    _, lexicon = _vocabulary(spark, folder)
+    documents, english = _documents(spark, folder), F.col("lang").eqNullSafe("en")
+    path = scratch_path(spark, "decisions")
+    for part in (english, ~english):
+        counts = materialize(vocabulary.token_counts(tokens.tokenize(documents.filter(part), "doc_id", "text")))
+        made = decisions.decide_remembered(counts, lexicon, path, CFG, fuzzy=False)
+    return made.select("token", "normalized", "source", "stem", "fresh")
+
+
 def rebuild_text(spark, folder):
     return tokens.rebuild_text(tokens.tokenize(_documents(spark, folder), "doc_id", "text"))
 
@@ -736,7 +760,7 @@ QUERIES: dict[str, Query] = {
         convert_emojis_table, emoji_emoticon_counts_table, clean_text, clean_text_fuzzy,
         protected_tokens, slang_lookup, dictionary_lookup, repeat_candidates, leet_candidates, dictionary_block,
         fuzzy_score, best_dictionary_candidate, typo_correction, normalize_vocab, normalize_vocab_exact,
-        filter_tokens, combine_negations, stem_tokens, rebuild_text, normalization_stats, count_tokens,
+        filter_tokens, combine_negations, stem_tokens, stem_tokens_rules, remembered_decisions, rebuild_text, normalization_stats, count_tokens,
         stratified_split, vectorizer_tokens, ngrams_1_2, document_frequency, tf, idf_smooth, tfidf_l2, nb_priors,
         nb_fit, nb_predict, nb_predict_proba, confidence_level, batch_score, prediction_history, prediction_counts,
         binary_metrics, confusion_matrix, classification_report, evaluate_model, train_and_evaluate,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reviewmill import config
 from reviewmill.functions.symbols import repair_mojibake, without_selector
 from reviewmill.functions.text import is_blank, strip_ws
+from reviewmill.operators.stemming import RULE_SCHEMA, checked_rules
 
 #: Lexicons up to this size are maps in expressions.
 MAP_ROWS = 1_000
@@ -68,6 +69,11 @@ def read_emoticons(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy("emoticon").agg(F.max_by("sentiment", "line").alias("sentiment"))
 
 
+def read_affix_rules(spark: SparkSession, path: str) -> DataFrame:
+    """Affix rules from CSV with a header: place, prefix, suffix, head, tail, least; see ``operators/stemming.py``."""
+    return checked_rules(spark.read.schema(RULE_SCHEMA).option("header", True).option("enforceSchema", False).csv(path))
+
+
 def lexicon_map(df: DataFrame, key: str, value: str) -> dict[str, str] | DataFrame:
     """A lexicon as a map for expressions if it has at most ``MAP_ROWS`` rows, else the table as (key, value).
 
