@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,8 +17,8 @@ BIN_BITS = 10
 BINS = 1 << BIN_BITS
 #: A cut is fine enough when the open bin weighs less than this share of a shard.
 FINE = 0.0005
-#: Equal texts that weigh more than this share of a shard are split into parts of at most that size.
-WHOLE = 0.125
+#: Equal texts that weigh more than this share of a shard are placed before the tree grows, so there are few of them.
+HEAVY = 0.125
 #: Rows that are numbered in one task, on average.
 NUMBERED = 5_000
 HASH_RANGE = 1 << 62
@@ -97,33 +98,52 @@ def shard(
     )
     dims = ["_dim0"] + [f"_dim{i}" for i in range(1, len(used) + 1)]
     total, rows = slim.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-    most = max(1.0, total / shards * WHOLE)
-    heavy = (
-        slim.groupBy("_group").agg(F.sum("size").alias("_weight"))
-        .filter(F.col("_weight") > most)
-        .select("_group", F.ceil(F.col("_weight") / F.lit(most)).alias("_parts"))
-    )
-    # each heavy group has more than WHOLE / shards of all bytes, so they are few
-    pieces = slim.join(F.broadcast(heavy), "_group", "left").withColumn(
-        "_part", F.coalesce(F.pmod(F.xxhash64("_id", "_group"), F.col("_parts")), F.lit(0)).cast("long")
-    )
+    target = total / shards
+    most = max(1.0, target * HEAVY)
+    heavy = {
+        r["_group"]: r["_weight"]
+        for r in slim.groupBy("_group").agg(F.sum("size").alias("_weight")).filter(F.col("_weight") > most).collect()
+    }  # each holds more than HEAVY / shards of all bytes
+    homes, room = place_whole(heavy, [target] * shards)
+    plan = [(g, homes.get(g), math.ceil(w / most)) for g, w in heavy.items()]
+    planned = slim.sparkSession.createDataFrame(plan, "_group long, _home int, _parts long")
+    part = F.when(F.col("_home").isNull(), F.pmod(F.xxhash64("_id", "_group"), F.col("_parts")))
+    pieces = slim.join(F.broadcast(planned), "_group", "left").withColumn("_part", F.coalesce(part, F.lit(0)).cast("long"))
     pieces = stored(pieces.drop("_parts"))
     points = stored(
-        pieces.groupBy("_group", "_part")
+        pieces.filter("_home IS NULL")
+        .groupBy("_group", "_part")
         .agg(F.min("size").alias("_dim0"), *[F.min(d).alias(d) for d in dims[1:]], F.sum("size").alias("_weight"))
         .select("_group", "_part", "_weight", F.array(*dims).alias("_dims"))
         .withColumn("_mark", F.pmod(F.xxhash64("_group", "_part", F.lit(3)), F.lit(HASH_RANGE)))
     )
-    placed = grow(points, len(dims), shards, total / shards).select("_group", "_part", F.col("_box").alias("shard"))
-    assigned = pieces.join(placed, ["_group", "_part"])
+    placed = grow(points, len(dims), room, target).select("_group", "_part", F.col("_box").alias("shard"))
+    assigned = pieces.filter("_home IS NULL").join(placed, ["_group", "_part"])
+    at_home = pieces.filter("_home IS NOT NULL").withColumn("shard", F.col("_home"))
+    assigned = assigned.unionByName(at_home).drop("_home")
     return _slots(assigned, rows, shards).select(
         F.col("_id").alias(key), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
 
 
-def grow(points: DataFrame, n_dims: int, shards: int, target: float) -> DataFrame:
-    """``points`` with ``_box``, the shard: all boxes of a level are cut together, each on its widest dimension."""
+def place_whole(weights: dict[int, int], room: list[float]) -> tuple[dict[int, int], list[float]]:
+    """(shard of each group that fits one as a whole, room left in each shard): the heaviest first, the first that has room."""
+    left, homes = list(room), {}
+    for group, weight in sorted(weights.items(), key=lambda x: (-x[1], x[0])):
+        home = next((i for i, r in enumerate(left) if r >= weight), None)
+        if home is not None:
+            homes[group] = home
+            left[home] -= weight
+    return homes, left
+
+
+def grow(points: DataFrame, n_dims: int, room: list[float], target: float) -> DataFrame:
+    """``points`` with ``_box``, the shard: all boxes of a level are cut together, each on its widest dimension.
+
+    The weight of a box is divided like the ``room`` of the shards on both sides.
+    """
+    shards = len(room)
     boxed = points.withColumn("_box", F.lit(0))
     leaves = {0: shards}
     widths: list[int] = []
@@ -141,7 +161,8 @@ def grow(points: DataFrame, n_dims: int, shards: int, target: float) -> DataFram
         for box, n in open_.items():
             if r := ranges.get(box):
                 dim = max(range(n_dims), key=lambda k: ((r["hi"][k] - r["lo"][k]) / widths[k], -k))  # noqa: B023
-                cuts.append(Cut(box, n, dim, r["w"] * (n // 2) / n, r["lo"][dim], r["hi"][dim]))
+                share = sum(room[box : box + n // 2]) / (sum(room[box : box + n]) or 1.0)
+                cuts.append(Cut(box, n, dim, r["w"] * share, r["lo"][dim], r["hi"][dim]))
         _search(boxed, cuts, target * FINE)
         if cuts:
             rows = [(c.box, c.dim + 1, c.value, c.mark, c.right) for c in cuts]
