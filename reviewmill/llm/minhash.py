@@ -15,8 +15,9 @@ from pyspark.sql.functions import pandas_udf
 
 from reviewmill.llm.base import components, named_by_smallest, row_key, stored, utf8
 
-#: Classes that a task compares with as many others, all with all.
+#: Classes that a task compares with as many others, all with all, and the bytes of their texts.
 BLOCK = 2000
+BLOCK_BYTES = 8 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -240,14 +241,17 @@ def _left_over(open_: DataFrame, texts: DataFrame, words: int, percent: int) ->
     Classes that are joined by shared keys are one crowd. Its classes are dealt
     into blocks, and each pair of blocks is one task, which counts the shingles
     that each class shares with all others and returns a spanning set of the
-    links it finds. So a crowd of any size takes tasks of bounded size, and no
-    pair becomes a row.
+    links it finds. The number of blocks follows the classes and the bytes of
+    their texts, so a block of long texts has fewer of them; a crowd of any size
+    takes tasks of bounded size, and no pair becomes a row.
     """
     first = stored(open_.groupBy("key").agg(F.min("cls").alias("first")))
     crowds = components(open_.join(first, "key").select(F.col("cls").alias("a"), F.col("first").alias("b")))
     classes = open_.select("cls", "root").distinct()
     placed = stored(classes.join(crowds, classes["cls"] == crowds["node"]).select("cls", classes["root"], crowds["root"].alias("crowd")))
-    sizes = placed.groupBy("crowd").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    weighed = placed.join(texts.select("cls", "bytes"), "cls")
+    needed = F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), F.sum("bytes") / F.lit(BLOCK_BYTES))).cast("int")
+    sizes = weighed.groupBy("crowd").agg(needed.alias("blocks"))
     dealt = placed.join(sizes, "crowd").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     sent = dealt.join(texts, "cls").withColumn("other", other).select(
@@ -299,10 +303,10 @@ def _spanning(
 
 
 def _texts(docs: DataFrame, reps: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
-    """(cls, text) of every class that shares a key with another."""
+    """(cls, text, bytes) of every class that shares a key with another."""
     wanted = reps.select("cls", "row").join(members.select("cls").distinct(), "cls", "left_semi")
     rows = docs.select(F.xxhash64(F.col(key), F.xxhash64(F.col(text))).alias("row"), F.col(text).alias("text"))
-    return rows.join(wanted, "row").select("cls", "text").dropDuplicates(["cls"])
+    return rows.join(wanted, "row").select("cls", "text", F.octet_length("text").alias("bytes")).dropDuplicates(["cls"])
 
 
 def _judged(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:

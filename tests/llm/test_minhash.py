@@ -62,6 +62,29 @@ def test_chains_reach_beyond_the_first_hub(spark, documents, prose):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute(texts, 4, 80)
 
 
+def test_blocks_follow_the_bytes_of_their_texts(spark, documents, prose, monkeypatch):
+    words = prose(100, seed=99).split()
+    texts = []
+    for step in range(24):
+        words = [*words[5:], *prose(5, seed=2000 + step).split()]
+        texts.append((step, " ".join(words)))
+    texts.append((99, " ".join([*words, *prose(20000, seed=5).split()])))  # a long one beside them
+    plain = {r.doc_id: (r.component_id, r.kept) for r in minhash.near_duplicates(documents([(i, t, "s") for i, t in texts]), words=4).collect()}
+    blocks = []
+    real = type(spark.range(1)).groupBy
+
+    def seen(df, *by):
+        if [c for c in by if isinstance(c, str)] == ["crowd", "low", "high"]:
+            blocks.append(df.select("block").distinct().count())
+        return real(df, *by)
+
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 1000)
+    monkeypatch.setattr(type(spark.range(1)), "groupBy", seen, raising=True)
+    found = {r.doc_id: (r.component_id, r.kept) for r in minhash.near_duplicates(documents([(i, t, "s") for i, t in texts]), words=4).collect()}
+    assert found == plain == {i: v[1:] for i, v in brute(texts, 4, 80).items()}
+    assert blocks and max(blocks) > 5
+
+
 def test_all_pairs_within_the_distance_share_a_key():
     import numpy as np
 
