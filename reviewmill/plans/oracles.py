@@ -421,6 +421,17 @@ def _table_print(table: str, *columns: str) -> str:
     return f"SELECT 'documents' AS name, sha256(count(*)::varchar || '|' || {sums}) AS sha FROM (SELECT {_digest(*columns)} AS h FROM {table})"
 
 
+def _tree_level(level: int, below: str, place: str) -> str:
+    return f"SELECT {level} AS level, left({place}, {level}) AS path, sum(n)::bigint AS n, sha256(string_agg({place} || sha, '|' ORDER BY {place})) AS sha FROM {below} GROUP BY 2"
+
+
+def _key_prints(key: str, table: str, *columns: str) -> str:
+    """The key digests of a table with one row for each key."""
+    words = " || '|' || ".join(f"(('0x' || substr(h, {8 * i + 1}, 8))::bigint)::varchar" for i in range(8))
+    return f"""SELECT sha256({key}::varchar) AS place, {key}::varchar AS name, 1 AS n, sha256('1|' || {words}) AS sha
+        FROM (SELECT {key}, {_digest(*columns)} AS h FROM {table})"""
+
+
 def _per_text(expr, table: str, key: str, column: str) -> str:
     return f"SELECT {key}, {expr(column)} AS result FROM {table}"
 
@@ -487,6 +498,11 @@ ORACLES: dict[str, str] = {
     "load_model": "SELECT label, term, round(log_prob, 6) AS log_prob FROM m_theta",
     "fingerprint": "SELECT doc_id::varchar AS name, sha256(text) AS sha FROM documents",
     "table_fingerprint": _table_print("documents", "doc_id", "text", "lang"),
+    "part_digests": f"""WITH k AS ({_key_prints('doc_id', 'documents', 'doc_id', 'text', 'lang')}),
+        l2 AS ({_tree_level(2, 'k', 'place')}), l1 AS ({_tree_level(1, 'l2', 'path')}), l0 AS ({_tree_level(0, 'l1', 'path')})
+        SELECT * FROM l0 UNION ALL SELECT * FROM l1 UNION ALL SELECT * FROM l2""",
+    "changed_keys": """SELECT doc_id::varchar AS name, CASE WHEN l.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS status
+        FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labelled) l USING (doc_id) WHERE l.doc_id IS NULL OR d.doc_id % 7 = 0""",
     "compatibility_check": """SELECT name, s.sha AS stored, c.sha AS current, CASE WHEN s.sha IS NOT DISTINCT FROM c.sha THEN 'ok' ELSE 'retrain' END AS status
         FROM (SELECT doc_id::varchar AS name, sha256(text) AS sha FROM documents) s FULL JOIN (
             SELECT doc_id::varchar AS name, sha256(CASE WHEN lang = 'en' THEN text ELSE text || '!' END) AS sha FROM labelled) c USING (name)""",

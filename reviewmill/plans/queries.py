@@ -19,7 +19,7 @@ from reviewmill.operators import bayes, charts, evaluation, features, fuzzy, pro
 from reviewmill.operators import symbols as symbol_tables
 from reviewmill.plans import cleaning, decisions, scoring, training
 from reviewmill.scale import materialize, scratch_path, spread
-from reviewmill.sources import history, lexicons, models, reviews
+from reviewmill.sources import history, lexicons, models, reviews, trees
 
 # Small lexicons for texts in English, French and German.
 NEGATIONS = ("no", "nicht", "pas")
@@ -182,6 +182,22 @@ def compatibility_check(spark, folder):
     return models.compatibility_check(stored, current)
 
 
+def part_digests(spark, folder):
+    path = scratch_path(spark, "tree")
+    trees.save_tree(_documents(spark, folder), "doc_id", path, ["doc_id", "text", "lang"], depth=2)
+    return trees.part_digests(spark, path)
+
+
+def changed_keys(spark, folder):
+    """Stored: all documents. Current: labelled documents, every seventh with another language."""
+    stored, current = scratch_path(spark, "tree"), scratch_path(spark, "tree")
+    columns = ["doc_id", "text", "lang"]
+    other = F.when(F.col("doc_id") % 7 == 0, F.lit("xx")).otherwise(F.col("lang"))
+    trees.save_tree(_documents(spark, folder), "doc_id", stored, columns, depth=3)
+    trees.save_tree(_labelled(spark, folder).withColumn("lang", other), "doc_id", current, columns, depth=3)
+    return trees.changed_keys(spark, stored, current)
+
+
 def model_metadata(spark, folder):
     labelled = _labelled(spark, folder).withColumn("predicted", 1 - F.col("toxic"))
     prints = models.table_fingerprint(_documents(spark, folder).select("doc_id", "text", "lang"), "documents")
@@ -750,7 +766,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         read_reviews, union_datasets, write_predictions, save_model, load_model, fingerprint,
-        table_fingerprint, compatibility_check, model_metadata, read_lexicons, build_dictionary,
+        table_fingerprint, part_digests, changed_keys, compatibility_check, model_metadata, read_lexicons, build_dictionary,
         build_stopwords, score_emojis,
         drop_missing_required, normalize_labels, label_violations, label_distribution_raw, conflict_texts,
         conflict_audit, resolve_conflicts, drop_exact_duplicates, file_report, file_label_counts, strict_validation,
