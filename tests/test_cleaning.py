@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewmill import config
 from reviewmill.functions import candidates, symbols, text
-from reviewmill.operators import fuzzy
+from reviewmill.operators import features, fuzzy
 from reviewmill.operators.vocabulary import Lexicons, normalize_vocab
 from reviewmill.plans.cleaning import clean_text
 
@@ -161,3 +161,21 @@ def test_negations_stay_even_if_they_are_stopwords(spark, lexicons):
 def test_scores(spark, a, b, score):
     row = spark.createDataFrame([(a, b)], "a string, b string").select(candidates.fuzzy_score("a", "b")).first()
     assert row[0] == pytest.approx(score, abs=1e-4)
+
+
+def test_quick_rule_outs_give_what_the_plain_patterns_give(spark):
+    rows = ["", None, " ", "\u00a0", "a", " a", "a\u2003", "a \n b", "\ta b\r\n", "<b>x</b>@y #z_é#q www.x WWW.Y hTTps://a b://c <", "é Ab\u00a0c ünder_x 12 x", "\u212awww.x", "a\n\nb-C"]
+    texts = spark.createDataFrame([(r,) for r in rows], "t string")
+    t, ws = F.col("t"), text.WS
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(t, text.HTML_TAG, " "), text.URL, " "), text.MENTION, " "), text.HASHTAG, " $1 ")
+    pairs = [
+        (text.strip_markup(t), bare),
+        (text.clean_structure(t), F.trim(F.regexp_replace(F.lower(bare), "[^a-z0-9_]+", " "))),
+        (text.strip_ws(t), F.regexp_replace(t, f"^[{ws}]+|[{ws}]+$", "")),
+        (features.words_of(t), F.regexp_extract_all(F.lower(t), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))),
+    ]
+    for quick, plain in pairs:
+        assert texts.filter(~quick.eqNullSafe(plain)).collect() == []
+    grams = spark.createDataFrame([(["a", "b", "c"],), (["a"],), ([],), (None,)], "w array<string>").select(features.ngrams_of("w", 1, 3).alias("g"))
+    assert [r.g for r in grams.collect()] == [["a", "b", "c", "a b", "b c", "a b c"], ["a"], [], None]
+    assert "(?U)" not in str(text.clean_structure(t)) and "regexp_extract_all" in str(text.clean_structure(t))
