@@ -1,9 +1,13 @@
 """What is shuffled: frequent keys and texts that are alone under their id stay where they are."""
 
+import math
+
+import pytest
 from pyspark.sql import functions as F
 
 from reviewmill import scale
-from reviewmill.operators import tokens
+from reviewmill.operators import bayes, features, tokens
+from reviewmill.sources.models import Model
 
 DOCS = [(1, "no good no bad"), (2, "good good"), (2, "no bad"), (None, "x no"), (None, "good"), (3, None), (4, "..."), (5, "not_x no")]
 
@@ -58,3 +62,40 @@ def test_listed_tokens_combine_like_single_ones(spark):
 def test_listed_tokens_of_single_ids_are_not_grouped(spark):
     table = tokens.tokenize(_docs(spark, [(1, "no good"), (2, "bad")]), "id", "text", listed=True)
     assert "Aggregate" not in _plan(tokens.combine_negations(table, ["no"]))
+
+
+def test_possible_keys_are_never_ruled_out(spark):
+    rows = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("key"), "id").unionByName(spark.createDataFrame([(None, -1)], "key string, id long"))
+    marked = scale.mark_possible(rows, "key", rows.filter("id % 2 = 0 or id = -1").select("key"), "may")
+    assert marked.columns == ["key", "id", "may"] and marked.count() == 4001
+    assert marked.filter("id % 2 = 0 and id >= 0 and not may").isEmpty()
+    assert marked.filter("id % 2 = 1 and may").count() < 10
+    assert scale.mark_possible(rows, "key", rows.limit(0).select("key"), "may").filter("may").isEmpty()
+
+
+@pytest.mark.parametrize("limit", [0, 700])
+def test_scores_of_frequent_and_rare_terms(spark, monkeypatch, limit):
+    """Two frequent terms, 2,000 rare ones and unknown words; term counts are not stored."""
+    known = {f"w{i}": (3000 if i < 2 else 2 + i % 3, 1.0 + i / 1000, [-1.0 - i / 500, -2.0 + i / 900]) for i in range(2002)}
+    terms = spark.createDataFrame([(t, *v) for t, v in known.items()], "term string, df long, idf double, log_probs array<double>")
+    model = Model(terms, spark.createDataFrame([(0, -0.5), (1, -0.9)], "label int, log_prior double"), (0, 1))
+    texts = {1: "w0 w1 w700 w700 zz", 2: "w0 w0 w0", 3: "w1500 w2001 qq", 4: "unknown only", 5: "", 6: None}
+    monkeypatch.setattr(bayes, "HOT_KEYS", limit)
+    monkeypatch.setattr(bayes, "materialize", None)
+    docs = spark.createDataFrame(list(texts.items()), "id long, text string")
+    found = {r.id: r.scores for r in bayes.joint_scores(docs, "id", "text", model).collect()}
+    assert set(found) == set(texts)
+    for i, text in texts.items():
+        words = [w for w in (text or "").split() if w in known]
+        raw = {w: words.count(w) * known[w][1] for w in words}
+        length = math.sqrt(sum(x * x for x in raw.values())) or 1.0
+        for label, prior in ((0, -0.5), (1, -0.9)):
+            assert found[i][label] == pytest.approx(prior + sum(x * known[w][2][label] for w, x in raw.items()) / length)
+
+
+def test_few_lengths_move_to_the_weights(spark):
+    counts = spark.createDataFrame([(1, "a", 2), (1, "b", 1), (2, "a", 1)], "id long, term string, tf long")
+    vocab = spark.createDataFrame([("a", 2, 1.0), ("b", 1, 2.0)], "term string, df long, idf double")
+    weights = features.tfidf_l2(counts, vocab)
+    assert {(r.id, r.term): round(r.weight, 6) for r in weights.collect()} == {(1, "a"): 0.707107, (1, "b"): 0.707107, (2, "a"): 1.0}
+    assert "Aggregate" not in _plan(weights)
