@@ -1,12 +1,15 @@
 """What is shuffled: frequent keys and texts that are alone under their id stay where they are."""
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from reviewmill import scale
 from reviewmill.operators import bayes, features, tokens
+from reviewmill.operators.vocabulary import Lexicons
+from reviewmill.plans.cleaning import clean_text
 from reviewmill.sources.models import Model
 
 DOCS = [(1, "no good no bad"), (2, "good good"), (2, "no bad"), (None, "x no"), (None, "good"), (3, None), (4, "..."), (5, "not_x no")]
@@ -99,3 +102,13 @@ def test_few_lengths_move_to_the_weights(spark):
     weights = features.tfidf_l2(counts, vocab)
     assert {(r.id, r.term): round(r.weight, 6) for r in weights.collect()} == {(1, "a"): 0.707107, (1, "b"): 0.707107, (2, "a"): 1.0}
     assert "Aggregate" not in _plan(weights)
+
+
+def test_cleaning_moves_words_without_flags(spark):
+    words = spark.createDataFrame([("good",), ("bad",)], "word string")
+    slang = spark.createDataFrame([("gd", "good")], "token string, target string")
+    lexicon = Lexicons(words, spark.createDataFrame([("the",)], "word string"), slang, negations=("no",), affixes=("^un", "s$"))
+    cleaned = clean_text(_docs(spark, [(1, "no gd the goods"), (2, None), (3, "bad no no bad")]), "id", "text", lexicon, fuzzy=False)
+    assert {r.id: r.clean_text for r in cleaned.collect()} == {1: "no_good good", 2: "", 3: "bad no no_bad"}
+    moved = re.findall(r"collect_list\(struct\((.*?)\)", _plan(cleaned)) or re.findall(r"collect_list\((.*)", _plan(cleaned))
+    assert moved and not any("is_negation" in fields.split("), ")[0] for fields in moved), moved
