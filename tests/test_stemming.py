@@ -92,3 +92,13 @@ def test_rules_meet_forms_by_equality(spark):
     forms = spark.createDataFrame([("makannya",)], "form string")
     plan = stemming.derive(forms, stemming.affix_rules(spark, RULES), [(0, 3), (2, 0)])._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_tokens_are_read_once_however_many_rounds_there_are(spark):
+    tokens = spark.createDataFrame([(t,) for t in ("mempermainkannya", "permainkan", "permain", "main", "mainan")], "token string")
+    words = spark.createDataFrame([("main", "main")], "word string, stem string")
+    found = stemming.stems_by_rules(tokens, stemming.affix_rules(spark, RULES), words)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    assert sorted((r.token, r.steps) for r in found.collect()) == [
+        ("main", 0), ("mainan", 1), ("mempermainkannya", 4), ("permain", 1), ("permainkan", 2),
+    ]
