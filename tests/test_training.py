@@ -1,5 +1,7 @@
 """Training rules, model files, streaming, skewed keys, errors and golden values."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +47,25 @@ def test_conflicts_are_rejected(spark):
         training.prepare_reviews(_table(spark, [("bagus", "1"), ("bagus", "0"), ("buruk", "0")]))
 
 
+def test_conflicts_are_kept_once_for_each_label_unless_strict(spark):
+    table = _table(spark, [("bagus", "1"), ("bagus", "0"), ("bagus", "0"), ("buruk", "0")])
+    with pytest.warns(UserWarning, match="1 texts carry conflicting labels"):
+        rows = training.prepare_reviews(table, strict=False)
+    assert {(r.row_id, r.sentiment) for r in rows.collect()} == {(0, 1), (1, 0), (3, 0)}
+
+
+@pytest.mark.filterwarnings("ignore:1 texts carry conflicting labels")
+def test_the_whole_run_ends_on_conflicting_labels(spark, tmp_path):
+    """Text 0 carries both labels: a row for each, as in the SQL of the query."""
+    texts = ["good fast nice"] * 2 + [f"good fast nice thing {w}" for w in ("a", "b", "c", "d")] + [f"bad slow broken thing {w}" for w in ("a", "b", "c", "d")]
+    labels = [1, 0, 1, 1, 1, 1, 0, 0, 0, 0]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    docs.withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text").cast("bigint")}).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, q, 0) for i, q in enumerate(labels)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = {r.id: r.label for r in queries.train_and_evaluate(spark, str(tmp_path)).collect()}
+    assert found == {i: labels[i] for label in (0, 1) for i in sorted((i for i in range(10) if labels[i] == label), key=lambda i: hashlib.md5(f"42|{i}".encode()).hexdigest())[:1]}
+
+
 @pytest.mark.parametrize("rows, message", [
     ([("a", "x"), ("b", "1")], "not_integer"),
     ([("a", "7"), ("b", "1"), ("c", "0")], "not_allowed"),
