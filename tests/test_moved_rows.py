@@ -2,6 +2,7 @@
 
 import math
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +97,35 @@ def test_scores_of_frequent_and_rare_terms(spark, monkeypatch, limit):
             assert found[i][label] == pytest.approx(prior + sum(x * known[w][2][label] for w, x in raw.items()) / length)
 
 
+def test_texts_alone_under_their_id_are_counted_without_grouping(spark):
+    alone = [(1, 0, "aa bb aa aa bb"), (2, 1, ""), (3, 1, None), (None, 0, "aa"), (4, 1, "bb ää ää"), (5, 0, "x")]
+    several = [(7, 0, "aa bb"), (7, 0, "bb aa bb"), (7, 1, "aa bb"), (None, 1, "aa")]
+
+    def expected(rows):
+        counts = Counter()
+        for key, label, text in rows:
+            words = [w for w in (text or "").split() if len(w) > 1]
+            counts.update((key, label, t) for t in [*words, *map(" ".join, zip(words, words[1:], strict=False))])
+        return dict(counts)
+
+    for rows in (alone, [*alone, *several], [(1, 0, "")]):
+        counts = features.term_counts(spark.createDataFrame(rows, "k long, label int, text string"), "k", "text", keep=("label",))
+        assert counts.columns == ["id", "label", "term", "tf"] and counts.schema["tf"].dataType.simpleString() == "bigint"
+        found = counts.collect()
+        assert {(r.id, r.label, r.term): r.tf for r in found} == expected(rows) and len(found) == len(expected(rows))
+        assert ("Aggregate" in _plan(counts)) == (len(rows) == 10)
+
+
+def test_rows_of_keys_that_the_other_table_lacks_are_not_moved(spark):
+    facts = scale.materialize(spark.range(20_000).select(F.concat(F.lit("k"), F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id"))).alias("key"), "id"))
+    dim = scale.materialize(spark.range(0, 2000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") * 7).alias("value")))
+    counts = facts.join(dim, "key").groupBy("key").agg(F.count("*").alias("n"))
+    joined = scale.hot_cold_join(facts, dim, "key", counts, sparse=True)
+    assert joined.columns == ["key", "id", "value"]
+    assert sorted(joined.collect()) == sorted(facts.join(dim, "key").collect())
+    assert "_possible" in joined._jdf.queryExecution().analyzed().toString()
+
+
 def test_few_lengths_move_to_the_weights(spark):
     counts = spark.createDataFrame([(1, "a", 2), (1, "b", 1), (2, "a", 1)], "id long, term string, tf long")
     vocab = spark.createDataFrame([("a", 2, 1.0), ("b", 1, 2.0)], "term string, df long, idf double")
@@ -104,6 +134,21 @@ def test_few_lengths_move_to_the_weights(spark):
     assert "Aggregate" not in _plan(weights)
 
 
+def test_lengths_are_broadcast_by_their_number(spark, monkeypatch):
+    """Not by the size of their files: above Spark's own limit the weights would be moved."""
+    counts = spark.createDataFrame([(1, "a", 2), (1, "b", 1), (2, "a", 1)], "id long, term string, tf long")
+    vocab = spark.createDataFrame([("a", 2, 1.0), ("b", 1, 2.0)], "term string, df long, idf double")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lambda: features.tfidf_l2(counts, vocab)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan()
+        monkeypatch.setattr(scale, "FEW_ROWS", 1)
+        assert "SortMergeJoin" in plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_cleaning_moves_words_without_flags(spark):
     words = spark.createDataFrame([("good",), ("bad",)], "word string")
     slang = spark.createDataFrame([("gd", "good")], "token string, target string")
